@@ -21,11 +21,11 @@ _KEYS = ["POLICY_RK", "X_EMPLOYEE_RK", "X_BSN_STRUCTURE_RK"]
 
 
 def states(t: Star):
-    return R.stage_states(t.recibo(), t.mopec1(), t.evento(), t.moviml(), t.customer_policies())
+    return R.stage_states(t.stored("recibo"), t.mopec1(), t.stored("evento"), t.moviml(), t.customer_policies())
 
 
 def staffed(t: Star):
-    return R.stage_staffed(states(t), t.reci0x(), t.entvin(), t.entrel(), t.apolpa(), t.recpro())
+    return R.stage_staffed(materialise(states(t), "receipt-states"), t.reci0x(), t.entvin(), t.entrel(), t.apolpa(), t.recpro())
 
 
 def final(t: Star):

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from coverloom.catalog.star import Star
 from coverloom.functions.exprs import col
+from coverloom.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -19,7 +20,7 @@ def register(name: str, sql: str | None = None):
     """Register ``f(star)``; ``sql`` is the same question for the second engine."""
 
     def add(f: Callable[[Star], DataFrame]):
-        QUERIES[name] = lambda spark, sf_dir: plain(f(Star(spark, sf_dir)))
+        QUERIES[name] = lambda spark, sf_dir: plain(f(Star(tune(spark), sf_dir)))
         if sql:
             ORACLES[name] = sql
         return f

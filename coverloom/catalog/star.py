@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from coverloom.functions import schemas as S
 from coverloom.functions.exprs import as_ntz, col, key, open_end, padded
+from coverloom.session import materialise
 
 RUN_TS = "2026-07-01 12:00:00"
 
@@ -51,17 +52,29 @@ def receipt_number(k: str) -> dict[str, Column]:
 class Star:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._stored: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def spread(self, name: str) -> DataFrame:
+        """A fact table; one too small to be split by its files is spread over the cores."""
+        df, cores = self.table(name), self.spark.sparkContext.defaultParallelism
+        return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+    def stored(self, name: str) -> DataFrame:
+        """An extract as the load would leave it: typed and written once, read by many steps."""
+        if name not in self._stored:
+            self._stored[name] = materialise(getattr(self, name)(), name)
+        return self._stored[name]
+
     @cached_property
     def orders(self) -> DataFrame:
-        return self.table("orders").withColumn("d", col("o_orderdate").cast("date"))
+        return self.spread("orders").withColumn("d", col("o_orderdate").cast("date"))
 
     @cached_property
     def lines(self) -> DataFrame:
-        return self.table("lineitem").withColumn("d", col("l_shipdate").cast("date"))
+        return self.spread("lineitem").withColumn("d", col("l_shipdate").cast("date"))
 
     # -------------------------------------------------------------- transactions path
 

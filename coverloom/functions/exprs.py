@@ -40,8 +40,21 @@ def valid_date(digits: Column) -> Column:
     return F.when(F.substring(digits, 1, 4) != "0000", F.try_to_date(digits, "yyyyMMdd"))
 
 
-def ymd(year: str | Column, month: str | Column, day: str | Column) -> Column:
-    return valid_date(key((year, 4), (month, 2), (day, 2)))
+def ymd(year: str, month: str, day: str) -> Column:
+    """Date from three integer columns, NULL when they form none or the year is 0.
+
+    Same result as ``valid_date`` over the padded parts. Plain days are built by arithmetic; text
+    is parsed only for 29 February and for parts wider than their place. One SQL text per date
+    keeps plan building cheap, as some rows have ten dates.
+    """
+    y, m, d = f"`{year}`", f"`{month}`", f"`{day}`"
+    digits = f"lpad({y}, 4, '0') || lpad({m}, 2, '0') || lpad({d}, 2, '0')"
+    return F.expr(f"""CASE
+        WHEN {y} BETWEEN 1 AND 9999 AND {m} BETWEEN 1 AND 12 AND {d} BETWEEN 1 AND 31
+             AND ({d} <= 28 OR ({m} <> 2 AND ({d} <= 30 OR {m} NOT IN (4, 6, 9, 11)))) THEN make_date({y}, {m}, {d})
+        WHEN {y} > 9999 OR {m} > 99 OR {d} > 99 OR ({m} = 2 AND {d} = 29)
+             THEN CASE WHEN lpad({y}, 4, '0') <> '0000' THEN try_to_date({digits}, 'yyyyMMdd') END
+        END""")
 
 
 def triple(prefix: str, stem: str) -> Column:

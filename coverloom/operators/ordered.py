@@ -10,6 +10,7 @@ cut points written to the shared folder, so a recomputed task sees the same slic
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import takewhile
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from coverloom.functions.exprs import col
 from coverloom.session import materialise
 
 HOT_ROWS = 5_000_000
+NEVER = 2**62  # as ``hot_rows``: the caller knows that no group is hot
 MAX_SLICES = 4096
 _BLOCK = 64  # cut points are searched in two steps of at most 64 comparisons each
 _DRAWS = 50  # sampled rows per wanted slice; the sample only places the cuts
@@ -75,6 +77,12 @@ def hot_groups(df: DataFrame, keys: list[str], hot_rows: int) -> DataFrame | Non
     return None if hot.isEmpty() else hot
 
 
+def hot_limit(probe: DataFrame, keys: list[str], hot_rows: int | None) -> int:
+    """``hot_rows`` if the probe has a hot group, else ``NEVER``; one check for several operators."""
+    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
+    return NEVER if hot_groups(probe, keys, hot_rows) is None else hot_rows
+
+
 def _cuts(df: DataFrame, keys: list[str], order: list[Asc], hot_rows: int) -> DataFrame | None:
     """Cut points per hot group: sampled positions, about one slice per ``hot_rows`` rows."""
     hot = hot_groups(df, keys, hot_rows)
@@ -128,16 +136,18 @@ def along(
     - ``earlier=(name, condition)``: earlier rows meeting the condition, NULL on the first row
     - ``whole={name: expr}``: maximum of the expression over the group
 
-    ``probe`` is a cheaper DataFrame with the same keys and order columns, used to look for hot
-    groups; by default ``df`` itself is counted.
+    ``probe`` is a cheaper DataFrame used to look for hot groups, by default ``df`` itself. It has
+    the keys and at least the first order columns; cuts are placed by the columns it has.
     """
     hot_rows = HOT_ROWS if hot_rows is None else hot_rows
     order = by(*order)
     whole = whole or {}
-    cuts = _cuts(df if probe is None else probe, keys, order, hot_rows)
+    probe = df if probe is None else probe
+    shared = list(takewhile(lambda o: o.name in probe.columns, order))
+    cuts = None if hot_rows >= NEVER else _cuts(probe, keys, shared, hot_rows)
     part = [col(k) for k in keys]
     if cuts is not None:
-        df = _with_slices(df, keys, order, cuts)
+        df = _with_slices(df, keys, shared, cuts)
         part = [*part, F.col("_slice")]
     group = Window.partitionBy(*part)
     w = group.orderBy(*[o.sort() for o in order])

@@ -16,7 +16,8 @@ from coverloom.functions.exprs import (
 )
 from coverloom.operators import joins as J
 from coverloom.operators.explode import observe
-from coverloom.operators.ordered import along, latest_per_key
+from coverloom.operators.ordered import HOT_ROWS, along, latest_per_key
+from coverloom.session import materialise
 
 ID = "POLICY_TRANS_ID"
 OBSERVATION = [ID, "STATUS_CD", "OBS_DT", "REASON_CD", "POS"]
@@ -167,7 +168,10 @@ def movement_rows(movements_: DataFrame, hot_rows: int | None = None) -> DataFra
         (code != "0000",
          {"STATUS_CD": F.lit(RETURNED), "OBS_DT": col("ENTRY_DT"), "REASON_CD": F.substring(code, 1, 4)}),
     ])
-    ranked = along(rows, [ID], ["OBS_DT", "STATUS_CD", "REASON_CD"], rank="_rank", hot_rows=hot_rows)
+    # A movement yields at most two rows, so counting movements is enough to find hot receipts.
+    probe = movements_.select(ID, F.coalesce("EXIT_DT", "ENTRY_DT").alias("OBS_DT"))
+    limit = HOT_ROWS if hot_rows is None else hot_rows
+    ranked = along(rows, [ID], ["OBS_DT", "STATUS_CD", "REASON_CD"], rank="_rank", hot_rows=limit // 2, probe=probe)
     return ranked.select(ID, "STATUS_CD", "OBS_DT", "REASON_CD",
                          (col("_rank") + MOVEMENT_POS).cast("int").alias("POS"))
 
@@ -233,14 +237,15 @@ def stage_states(recibo: DataFrame, mopec1: DataFrame, evento: DataFrame, moviml
     info = enrich(base, fees(mopec1))
     # The product is attached before the receipt is multiplied: same rows, a narrower shuffle.
     info = J.lookup(info, products(apol00), ["POLICY_NO"], ["POLICY_NO"], {"PROD_ID": "PROD_ID"})
-    observed = history(info, ev, mv, missing, null_aware, hot_rows)
+    # Five narrow columns, read by the check for hot receipts and by the join.
+    observed = materialise(history(base, ev, mv, missing, null_aware, hot_rows), "observations")
     rows = info.drop("X_CHARGEBACK_CD", "X_RESULT_PARTICIPATION_FLG").join(observed, ID)
     rows = J.lookup(rows, ev.filter(col("EVENT_STATUS_CD") == "02"), [ID], [ID], {"EVENT_02_DT": "EVENT_DT"})
     marks = ev.filter(col("EVENT_STATUS_CD") == "03").select(ID).distinct().withColumn("HAS_03", F.lit(True))
     rows = J.lookup(rows, marks, [ID], [ID], {"HAS_03": "HAS_03"})
     charged = base.filter(col("X_CHARGEBACK_CD") == "A").select(ID).withColumn("CHARGED", F.lit(True))
     rows = J.lookup(rows, charged, [ID], [ID], {"CHARGED": "CHARGED"})
-    rows = adjust(rows, hot_rows)
+    rows = adjust(rows, hot_rows, probe=observed)
     shared = base.filter(col("TRANS_SUB_TYPE_CD") == 9)
     rows = J.lookup(rows, shared, [ID, "POLICY_NO"], [ID, "POLICY_NO"], {"_shared": "X_RESULT_PARTICIPATION_FLG"})
     rows = rows.withColumn("X_RESULT_PARTICIPATION_FLG", F.coalesce("_shared", F.lit("0")))
@@ -284,13 +289,13 @@ _TIES = ["X_RET_REASON_CD", "X_PROCESSED_DT", "TRANS_DT", "X_CANCEL_DT", "X_TRAN
 
 
 def first_processed(rows: DataFrame, order: list[str], empty_frame_is_zero: bool,
-                    hot_rows: int | None = None) -> DataFrame:
+                    hot_rows: int | None = None, probe: DataFrame | None = None) -> DataFrame:
     """Flag the first row of a receipt that has a processed date.
 
     With ``empty_frame_is_zero=False`` the very first row of a receipt never gets the flag.
     """
     done = col("X_PROCESSED_DT").isNotNull()
-    rows = along(rows, [ID], order, earlier=("_earlier", done), hot_rows=hot_rows)
+    rows = along(rows, [ID], order, earlier=("_earlier", done), hot_rows=hot_rows, probe=probe)
     count = F.col("_earlier")
     none = (F.coalesce(count, F.lit(0)) if empty_frame_is_zero else count) == 0
     return rows.withColumn("X_PROCESSED_FLG", F.when(done & none, "1").otherwise("0")).drop("_earlier")
@@ -303,10 +308,13 @@ def manual_flag(rows: DataFrame, recpro: DataFrame) -> DataFrame:
 
 def stage_staffed(states: DataFrame, reci0x: DataFrame, entvin: DataFrame, entrel: DataFrame,
                   apolpa: DataFrame, recpro: DataFrame, *, hot_rows: int | None = None) -> DataFrame:
-    """Second stage: employee, first-processed flag, manual flag."""
+    """Second stage: employee, first-processed flag, manual flag.
+
+    ``states`` should be a stored table; its keys are also counted.
+    """
     rows = with_employee(states, reci0x, entvin, entrel, apolpa)
     order = ["X_TRANS_STATUS_CD", "X_MOV_DT", "X_EXIT_DT", *_TIES, "X_EMPLOYEE_EXT_ID"]
-    rows = first_processed(rows, order, True, hot_rows)
+    rows = first_processed(rows, order, True, hot_rows, probe=states)
     return S.shape(manual_flag(rows, recpro), S.STAFFED_STATES)
 
 
@@ -382,6 +390,6 @@ def stage_final(staffed: DataFrame, recrel: DataFrame, apol00: DataFrame, *, wit
     """
     rows = with_synthetic(staffed)
     order = ["X_TRANS_STATUS_CD", "X_MOV_DT", "X_EXIT_DT", *_TIES, "X_EMPLOYEE_EXT_ID"]
-    rows = first_processed(rows, order, False, hot_rows)
+    rows = first_processed(rows, order, False, hot_rows, probe=staffed)
     rows = regularise(rows, regularisations(recrel, staffed, with_mod))
     return S.shape(correct_withdrawals(rows, apol00), S.FINAL_STATES)

@@ -9,20 +9,32 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Options every job of this library expects. All of them are runtime SQL options.
 #: - a skewed join may be split even when that costs one more exchange;
-#: - a join on (id, x) may reuse data already hashed on id alone.
+#: - a join on (id, x) may reuse data already hashed on id alone;
+#: - generated methods above 8000 bytecodes, which the JVM would only interpret, are not generated.
 RUNTIME_OPTIONS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
+#: Set before the session exists: Python call sites are not captured for every column of a wide plan.
+STATIC_OPTIONS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the runtime options to a session made elsewhere."""
+    for name, value in RUNTIME_OPTIONS.items():
+        spark.conf.set(name, value)
+    return spark
+
 
 def get_spark(app: str = "coverloom", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app).config("spark.sql.session.timeZone", "UTC")
     if master:
         builder = builder.master(master)
-    for name, value in {**RUNTIME_OPTIONS, **conf}.items():
+    for name, value in {**STATIC_OPTIONS, **RUNTIME_OPTIONS, **conf}.items():
         builder = builder.config(name, value)
     return builder.getOrCreate()
 
