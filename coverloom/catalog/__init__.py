@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from coverloom.catalog import receipt_queries  # noqa: F401
+from coverloom.catalog import exposure_queries, receipt_queries  # noqa: F401
 from coverloom.catalog.registry import ORACLES, QUERIES
 
 
