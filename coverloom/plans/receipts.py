@@ -237,14 +237,16 @@ def stage_states(recibo: DataFrame, mopec1: DataFrame, evento: DataFrame, moviml
     info = enrich(base, fees(mopec1))
     # The product is attached before the receipt is multiplied: same rows, a narrower shuffle.
     info = J.lookup(info, products(apol00), ["POLICY_NO"], ["POLICY_NO"], {"PROD_ID": "PROD_ID"})
-    # Five narrow columns, read by the check for hot receipts and by the join.
-    observed = materialise(history(base, ev, mv, missing, null_aware, hot_rows), "observations")
-    rows = info.drop("X_CHARGEBACK_CD", "X_RESULT_PARTICIPATION_FLG").join(observed, ID)
-    rows = J.lookup(rows, ev.filter(col("EVENT_STATUS_CD") == "02"), [ID], [ID], {"EVENT_02_DT": "EVENT_DT"})
+    # What depends on the receipt alone is attached before the receipt is multiplied.
     marks = ev.filter(col("EVENT_STATUS_CD") == "03").select(ID).distinct().withColumn("HAS_03", F.lit(True))
-    rows = J.lookup(rows, marks, [ID], [ID], {"HAS_03": "HAS_03"})
     charged = base.filter(col("X_CHARGEBACK_CD") == "A").select(ID).withColumn("CHARGED", F.lit(True))
-    rows = J.lookup(rows, charged, [ID], [ID], {"CHARGED": "CHARGED"})
+    wide = info.drop("X_CHARGEBACK_CD", "X_RESULT_PARTICIPATION_FLG")
+    wide = J.lookup(wide, marks, [ID], [ID], {"HAS_03": "HAS_03"})
+    wide = J.lookup(wide, charged, [ID], [ID], {"CHARGED": "CHARGED"})
+    wide = J.lookup(wide, ev.filter(col("EVENT_STATUS_CD") == "02"), [ID], [ID], {"EVENT_02_DT": "EVENT_DT"})
+    # Five narrow columns, read by the check for hot receipts and by the join.
+    observed = materialise(history(base, ev, mv, missing, null_aware, hot_rows), "observations")
+    rows = wide.join(observed, ID)
     rows = adjust(rows, hot_rows, probe=observed)
     shared = base.filter(col("TRANS_SUB_TYPE_CD") == 9)
     rows = J.lookup(rows, shared, [ID, "POLICY_NO"], [ID, "POLICY_NO"], {"_shared": "X_RESULT_PARTICIPATION_FLG"})
