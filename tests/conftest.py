@@ -1,7 +1,9 @@
 import sys
+from decimal import Decimal
 from pathlib import Path
 
 import pytest
+from pyspark.sql import types as T
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
@@ -30,11 +32,17 @@ def frame(spark):
     """``frame(schema, {...}, ...)``: rows by column name, missing ones NULL."""
 
     def make(schema, *rows):
-        return spark.createDataFrame([tuple(r.get(f.name) for f in schema) for r in rows], schema)
+        unknown = {c for r in rows for c in r} - set(schema.fieldNames())
+        assert not unknown, unknown
+        return spark.createDataFrame([tuple(_value(f.dataType, r.get(f.name)) for f in schema) for r in rows], schema)
 
     return make
 
 
+def _value(kind, v):
+    return Decimal(str(v)) if v is not None and isinstance(kind, T.DecimalType) else v
+
+
 def rows(df, *cols):
     """Sorted value tuples, NULL lowest."""
     got = [tuple(r) for r in (df.select(*[f"`{c}`" for c in cols]) if cols else df).collect()]
