@@ -7,7 +7,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from coverloom.functions.exprs import at, col
-from coverloom.operators.ordered import latest_per_key
+from coverloom.operators.ordered import HOT_ROWS, MAX_SLICES, hot_groups, latest_per_key
+from coverloom.session import materialise
 
 
 def pairs(left: list[str], right: list[str]) -> Column:
@@ -22,20 +23,59 @@ def _side(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
     return df.select(*[col(k).alias(n) for k, n in zip(keys, names, strict=True)]), names
 
 
+def _keys_of(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
+    """Distinct keys: a frequent key of the checked side collapses before the shuffle."""
+    side, names = _side(df, keys)
+    return side.distinct(), names
+
+
 def absent(df: DataFrame, other: DataFrame, keys: list[str], other_keys: list[str] | None = None,
            only: Column | None = None) -> DataFrame:
     """Rows of ``df`` without a partner; with ``only``, just the rows meeting it are checked."""
-    side, names = _side(other, other_keys or keys)
+    side, names = _keys_of(other, other_keys or keys)
     on = pairs(keys, names)
     return df.join(side, on if only is None else on & only, "left_anti")
 
 
 def present(df: DataFrame, other: DataFrame, keys: list[str],
             other_keys: list[str] | None = None) -> DataFrame:
-    side, names = _side(other, other_keys or keys)
+    side, names = _keys_of(other, other_keys or keys)
     return df.join(side, pairs(keys, names), "left_semi")
 
 
+def join_spread(big: DataFrame, small: DataFrame, keys: list[str], hot_rows: int | None = None) -> DataFrame:
+    """Inner join on equally named keys where a key of ``big`` may be frequent.
+
+    Rows of frequent keys are spread by a hash of the whole row over as many parts as the key's
+    size asks for, and the partners of just these keys are repeated once per part. Without
+    frequent keys this is a plain join.
+    """
+    limit = HOT_ROWS if hot_rows is None else hot_rows
+    hot = hot_groups(big, keys, limit)
+    if hot is None:
+        return big.join(small, keys)
+    parts = F.least(F.lit(MAX_SLICES), F.ceil(F.col("_size") / F.lit(limit))).cast("int")
+    marked = materialise(hot, "hot-keys").select(*[col(k) for k in keys], parts.alias("_parts"))
+    marked = F.broadcast(marked)  # at most rows / hot_rows keys are frequent
+    count = F.coalesce("_parts", F.lit(1))
+    salt = F.pmod(F.xxhash64(*[col(c) for c in big.columns]), count).cast("int")
+    left = big.join(marked, keys, "left").withColumn("_salt", salt).drop("_parts")
+    right = (small.join(marked, keys, "left")
+             .withColumn("_salt", F.explode(F.sequence(F.lit(0), count - 1))).drop("_parts"))
+    return left.join(right, [*keys, "_salt"]).drop("_salt")
+
+
+def lookup_spread(df: DataFrame, big: DataFrame, keys: list[str], take: list[str], prefix: str,
+                  hot_rows: int | None = None) -> DataFrame:
+    """Left join on equally named keys, where a key of the looked-up side may be frequent."""
+    renamed = {c: f"{prefix}{c}" for c in take}
+    side = big.select(*[col(k) for k in keys], *[col(c).alias(n) for c, n in renamed.items()])
+    if hot_groups(side, keys, HOT_ROWS if hot_rows is None else hot_rows) is None:
+        return df.join(side, keys, "left")
+    matched = join_spread(side, df, keys, hot_rows)
+    return matched.unionByName(absent(df, side, keys), allowMissingColumns=True)
+
+
 def drop_listed(df: DataFrame, condition: Column, key: str, listed: DataFrame, listed_key: str,
                 null_aware: bool = False) -> DataFrame:
     """Rows except those that meet ``condition`` and whose key is listed.

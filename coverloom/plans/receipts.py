@@ -152,10 +152,10 @@ def event_rows(events_: DataFrame) -> DataFrame:
         position.alias("POS"))
 
 
-def prefer_events(rows: DataFrame, event_rows_: DataFrame) -> DataFrame:
+def prefer_events(rows: DataFrame, event_rows_: DataFrame, hot_rows: int | None = None) -> DataFrame:
     """Event values win where the receipt has an event of the same status; duplicates fan out."""
     take = ["OBS_DT", "REASON_CD", "POS"]
-    out = J.lookup(rows, event_rows_, [ID, "STATUS_CD"], [ID, "STATUS_CD"], {f"E_{c}": c for c in take})
+    out = J.lookup_spread(rows, event_rows_, [ID, "STATUS_CD"], take, "E_", hot_rows)
     return out.select(ID, "STATUS_CD", *[F.coalesce(f"E_{c}", c).alias(c) for c in take])
 
 
@@ -186,7 +186,7 @@ def history(receipts_: DataFrame, events_: DataFrame, movements_: DataFrame, mis
             null_aware: bool = False, hot_rows: int | None = None) -> DataFrame:
     """All observations of all receipts."""
     own = receipt_rows(receipts_, missing).unionByName(late_processed_rows(receipts_, events_))
-    merged = prefer_events(own, event_rows(events_))
+    merged = prefer_events(own, event_rows(events_), hot_rows)
     return override(merged, movement_rows(movements_, hot_rows), null_aware)
 
 
@@ -246,7 +246,7 @@ def stage_states(recibo: DataFrame, mopec1: DataFrame, evento: DataFrame, moviml
     wide = J.lookup(wide, ev.filter(col("EVENT_STATUS_CD") == "02"), [ID], [ID], {"EVENT_02_DT": "EVENT_DT"})
     # Five narrow columns, read by the check for hot receipts and by the join.
     observed = materialise(history(base, ev, mv, missing, null_aware, hot_rows), "observations")
-    rows = wide.join(observed, ID)
+    rows = J.join_spread(observed, wide, [ID], hot_rows)
     rows = adjust(rows, hot_rows, probe=observed)
     shared = base.filter(col("TRANS_SUB_TYPE_CD") == 9)
     rows = J.lookup(rows, shared, [ID, "POLICY_NO"], [ID, "POLICY_NO"], {"_shared": "X_RESULT_PARTICIPATION_FLG"})

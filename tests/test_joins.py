@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from coverloom.operators import joins as J
+from coverloom.operators.aggregates import difference
 
 
 @pytest.fixture(scope="module")
@@ -53,3 +54,28 @@ def test_dimension_versions(spark):
       AS t(code, rk, VALID_FROM_DTTM, VALID_TO_DTTM)""")
     assert [r["rk"] for r in J.valid_now(dim, "2026-07-01 00:00:00").collect()] == [2]
     assert sorted(tuple(r) for r in J.latest_version(dim, "code", "rk").collect()) == [("a", 2), ("b", 3), ("c", 4)]
+
+
+@pytest.fixture(scope="module")
+def skewed(spark):
+    """Half of the rows under one key, some under NULL, and single ones."""
+    return spark.range(400).select(
+        F.when(F.col("id") < 200, 1).when(F.col("id") < 230, F.lit(None)).otherwise(F.col("id")).cast("int").alias("k"), F.col("id").alias("v"))
+
+
+@pytest.mark.parametrize("hot_rows", [10, 10**6])
+def test_join_spread_equals_join(skewed, spark, hot_rows):
+    small = spark.createDataFrame([(1, "a"), (1, "b"), (250, "c"), (None, "n")], "k int, t string")
+    spread = J.join_spread(skewed, small, ["k"], hot_rows)
+    assert ("_salt" in spread._jdf.queryExecution().optimizedPlan().toString()) == (hot_rows == 10)
+    assert difference(spread.select("k", "v", "t"), skewed.join(small, "k").select("k", "v", "t")).count() == 0
+    assert spread.count() == 401
+
+
+@pytest.mark.parametrize("hot_rows", [10, 10**6])
+def test_lookup_spread_equals_left_join(skewed, spark, hot_rows):
+    few = spark.createDataFrame([(1, "a"), (9999, "b"), (None, "n")], "k int, t string")
+    spread = J.lookup_spread(few, skewed, ["k"], ["v"], "S_", hot_rows)
+    plain = few.join(skewed.withColumnRenamed("v", "S_v"), "k", "left")
+    assert difference(spread.select("k", "t", "S_v"), plain.select("k", "t", "S_v")).count() == 0
+    assert spread.count() == 202
