@@ -240,19 +240,23 @@ def append_nodupkey(frames: list[DataFrame], keys: list[str], order: list[Column
     return latest_per_key(out, keys, order)
 
 
-def global_dense_rank(df: DataFrame, keys: list[str], name: str, hot_rows: int | None = None) -> DataFrame:
-    """Dense rank over all rows by ``keys`` (ascending, NULLs last) without a single-task window.
+def dense_ranks(df: DataFrame, keys: list[str], name: str, hot_rows: int | None = None) -> DataFrame:
+    """Distinct keys as one struct ``_id`` with their dense rank (ascending, NULLs last).
 
-    The distinct keys are ranked slice by slice and the ranks joined back. The keys travel as one
-    struct, in which NULL equals NULL, so unresolved keys share a rank.
+    The distinct keys are ranked slice by slice, without a single-task window. Within the struct
+    NULL equals NULL, so unresolved keys share a rank.
     """
     ids = materialise(df.select(*[col(k) for k in keys]).distinct(), "distinct-keys")
     tasks = ids.sparkSession.sparkContext.defaultParallelism
     share = max(10_000, -(-ids.count() // tasks))
     ranked = along(ids, [], list(keys), rank=name, hot_rows=min(hot_rows or HOT_ROWS, share))
-    ranked = ranked.select(_id(keys).alias("_id"), col(name))
-    return df.withColumn("_id", _id(keys)).join(ranked, "_id", "left").drop("_id")
+    return ranked.select(key_struct(keys).alias("_id"), col(name))
+
+
+def global_dense_rank(df: DataFrame, keys: list[str], name: str, hot_rows: int | None = None) -> DataFrame:
+    """Dense rank over all rows by ``keys``."""
+    return df.withColumn("_id", key_struct(keys)).join(dense_ranks(df, keys, name, hot_rows), "_id", "left").drop("_id")
 
 
-def _id(keys: list[str]) -> Column:
+def key_struct(keys: list[str]) -> Column:
     return F.struct(*[col(k).alias(f"k{i}") for i, k in enumerate(keys)])
