@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from coverloom.catalog import basic_queries, exposure_queries, portfolio_queries, receipt_queries  # noqa: F401
+from coverloom.catalog import basic_queries, exposure_queries, portfolio_queries, receipt_queries, source_queries  # noqa: F401
 from coverloom.catalog.registry import ORACLES, QUERIES
 
 
