@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from coverloom.functions import schemas as S
 from coverloom.functions.exprs import SAS
 from coverloom.plans import exposure, quality, receipts, scd2, splitter
+from coverloom.session import scratch_scope
 from coverloom.sources import tables
 
 
@@ -35,25 +36,29 @@ def run_transactions(x: dict[str, DataFrame], dims: Dimensions, out: str, run_ts
     spark = x["RECIBO"].sparkSession
     history = f"{out}/X_LIFE_POLICY_TRANS_HIST"
     loaded = tables.read(spark, history, S.TRANSACTIONS) if _exists(spark, history) else None
-    states = _store(receipts.stage_states(x["RECIBO"], x["MOPEC1"], x["EVENTO"], x["MOVIML"], x["APOL00"], loaded,
-                                          missing=missing, hot_rows=hot_rows), f"{out}/stage/receipt_states")
-    staffed = _store(receipts.stage_staffed(states, x["RECI0X"], x["ENTVIN"], x["ENTREL"], x["APOLPA"], x["RECPRO"],
-                                            hot_rows=hot_rows), f"{out}/stage/staffed_states")
-    final = _store(receipts.stage_final(staffed, x["RECREL"], x["APOL00"], hot_rows=hot_rows), f"{out}/stage/final_states")
+    with scratch_scope(spark):
+        states = _store(receipts.stage_states(x["RECIBO"], x["MOPEC1"], x["EVENTO"], x["MOVIML"], x["APOL00"], loaded,
+                                              missing=missing, hot_rows=hot_rows), f"{out}/stage/receipt_states")
+        staffed = _store(receipts.stage_staffed(states, x["RECI0X"], x["ENTVIN"], x["ENTREL"], x["APOLPA"], x["RECPRO"],
+                                                hot_rows=hot_rows), f"{out}/stage/staffed_states")
+        final = _store(receipts.stage_final(staffed, x["RECREL"], x["APOL00"], hot_rows=hot_rows), f"{out}/stage/final_states")
+    # Each half reads and resolves only its own rows: the open/closed filter reaches the scan.
     rows = splitter.resolve(final, dims.employee, dims.structure, dims.policy, run_ts)
-    tables.append(splitter.closed(rows), history, S.TRANSACTIONS)
     tables.replace(splitter.current(rows), f"{out}/LIFE_POLICY_TRANS")
+    # Last, so that a run that failed before can be repeated.
+    tables.append(splitter.closed(rows), history, S.TRANSACTIONS)
 
 
 def run_exposures(x: dict[str, DataFrame], changed: DataFrame, group: DataFrame, policy_versions: DataFrame,
                   dims: Dimensions, out: str, run_ts: str, missing: str = SAS, hot_rows: int | None = None) -> None:
     """Exposure path and full rebuild of the type-2 table."""
-    covers = _store(exposure.stage_coverages(x["APOL00"], x["ACTA00"], x["APOL03"], x["ACTA03"], missing=missing),
-                    f"{out}/stage/coverages")
-    images = _store(exposure.stage_images(x["APOL00"], x["APOL03"], covers, changed, group, policy_versions,
-                                          missing=missing, hot_rows=hot_rows), f"{out}/stage/images")
-    table = scd2.full_load(images, dims.policy, dims.proposal, dims.coverage, dims.category, run_ts, hot_rows=hot_rows)
-    tables.replace(table, f"{out}/LIFE_UNIT_OF_EXPOSURE")
+    with scratch_scope(x["APOL00"].sparkSession):
+        covers = _store(exposure.stage_coverages(x["APOL00"], x["ACTA00"], x["APOL03"], x["ACTA03"], missing=missing),
+                        f"{out}/stage/coverages")
+        images = _store(exposure.stage_images(x["APOL00"], x["APOL03"], covers, changed, group, policy_versions,
+                                              missing=missing, hot_rows=hot_rows), f"{out}/stage/images")
+        table = scd2.full_load(images, dims.policy, dims.proposal, dims.coverage, dims.category, run_ts, hot_rows=hot_rows)
+        tables.replace(table, f"{out}/LIFE_UNIT_OF_EXPOSURE")
 
 
 def finish(spark: SparkSession, out: str, run_ts: str) -> None:

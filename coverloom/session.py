@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,6 +74,25 @@ def scratch_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_local = threading.local()
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Tables that ``materialise`` writes inside are deleted at the end.
+
+    For jobs that store their results inside the scope; a DataFrame that leaves it unread is lost.
+    """
+    scopes = _local.__dict__.setdefault("scopes", [])
+    scopes.append([])
+    try:
+        yield
+    finally:
+        for path in scopes.pop():
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -79,5 +101,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/coverloom-stages/{name}-{uuid.uuid4().hex}"
+    if scopes := getattr(_local, "scopes", None):
+        scopes[-1].append(path)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -1,4 +1,5 @@
 from datetime import date
+from pathlib import Path
 
 import pytest
 from conftest import rows
@@ -10,6 +11,7 @@ from coverloom.functions import schemas as S
 from coverloom.operators.aggregates import difference
 from coverloom.plans import daily, splitter
 from coverloom.plans import receipts as R
+from coverloom.session import scratch_dir
 
 DATES = {"CRI": 1, "EMI": 2, "DEV": 3, "UST": 4, "COB": 5, "ANU": 6}
 
@@ -210,7 +212,10 @@ def test_second_run_loads_no_closed_receipt_twice(star, tmp_path):
     x = {"RECIBO": star.stored("recibo"), "MOPEC1": star.mopec1(), "EVENTO": star.stored("evento"), "MOVIML": star.moviml(), "APOL00": star.customer_policies(), "RECI0X": star.reci0x(),
          "ENTVIN": star.entvin(), "ENTREL": star.entrel(), "APOLPA": star.apolpa(), "RECPRO": star.recpro(), "RECREL": star.recrel()}
     out = str(tmp_path)
+    scratch = Path(scratch_dir(star.spark).removeprefix("file:")) / "coverloom-stages"
+    before = set(scratch.iterdir())
     daily.run_transactions(x, dimensions(star), out, RUN_TS)
+    assert set(scratch.iterdir()) == before  # scratch tables of the run are gone
     read = lambda name: star.spark.read.parquet(f"{out}/{name}")
     history, current = read("X_LIFE_POLICY_TRANS_HIST").count(), read("LIFE_POLICY_TRANS").count()
     assert history > 0 and current > 0
