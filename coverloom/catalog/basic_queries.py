@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from coverloom.catalog.registry import register
 from coverloom.catalog.star import RUN_TS, Star
 from coverloom.functions.exprs import (
-    as_ntz, at, below, blank_to_null, cents, col, differs, digest, key, least_strict, number, open_end, unless, valid_date, ymd,
+    as_ntz, below, blank_to_null, cents, col, differs, digest, key, least_strict, number, open_end, unless, valid_date, ymd,
 )
 from coverloom.functions import schemas as S
 from coverloom.operators import aggregates as A
