@@ -9,6 +9,7 @@ on pages that ``training_page`` makes up, where the truth is known.
 from __future__ import annotations
 
 import functools
+import random
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -262,18 +263,22 @@ NOTICES = ("We use cookies to improve this site. Accept", "Subscribe to our news
            "Todos los derechos reservados", "Leave a reply", "Related articles", "Home", "About", "Contact", "Search", "Privacy policy")
 
 
-def training_page(r: np.random.Generator) -> tuple[str, list[bool]]:
+@functools.cache
+def _listed(names: str) -> list[str]:
+    return names.split()
+
+
+def training_page(r: random.Random) -> tuple[str, list[bool]]:
     """A made-up page and, for each of its blocks in order, whether it is main text."""
     out: list[str] = []
     truth: list[bool] = []
-    pick = lambda names: (names.split() if isinstance(names, str) else names)[r.integers(len(names.split() if isinstance(names, str) else names))]
+    pick = lambda names: r.choice(_listed(names) if isinstance(names, str) else names)
     syllables = pick(["th er on an re he in ed nd ha at en es of or nt ea ti to it st io le is ou ar as de rt ve", "sch ein ich der die und gen ung ber ver keit lich tz zu",
                       "le de ment tion ou an eau eux qu es re on pa vi ch el", "os ción ar mente que ie ja do es la co ga an mi"]).split()
     junk = pick(["", "", "", "!!", "###", "***"])
 
     def prose(low: int, high: int) -> str:
-        n = int(r.integers(low, high + 1))
-        words = ["".join(pick(syllables) for _ in range(r.integers(1, 5))) + (junk if r.random() < 0.7 else "") for _ in range(n)]
+        words = ["".join(r.choices(syllables, k=r.randrange(1, 5))) + (junk if r.random() < 0.7 else "") for _ in range(r.randrange(low, high + 1))]
         words = [w + "." if r.random() < 0.12 else w for w in words]
         return " ".join(words).capitalize() + ("." if r.random() < 0.8 else "")
 
@@ -297,24 +302,24 @@ def training_page(r: np.random.Generator) -> tuple[str, list[bool]]:
         style = r.random()
         if kind in ("nav", "aside") and style < 0.75 or style < 0.2:
             out.append("<ul>")
-            for _ in range(r.integers(2, 9)):
+            for _ in range(r.randrange(2, 9)):
                 truth.append(False)
                 out.append(f'<li><a href="/x">{prose(1, 4) if r.random() < 0.7 else pick(NOTICES)}</a>{"</li>" if r.random() < 0.8 else ""}')
             out.append("</ul>")
         elif kind == "form":
-            for _ in range(r.integers(1, 4)):
+            for _ in range(r.randrange(1, 4)):
                 block(prose(1, 5), pick("p div fieldset legend"), False)
             out.append('<input type="text"><br>')
             block(pick(NOTICES), "button", False)
         elif kind == "section":
-            for _ in range(r.integers(1, 7)):
+            for _ in range(r.randrange(1, 7)):
                 inner = pick(["div", "article", "li", "div"])
                 out.append(f'<{inner} class="{pick("comment reply response message item")}">')
-                for _ in range(r.integers(1, 4)):
+                for _ in range(r.randrange(1, 4)):
                     block(prose(2, 60), pick("p div p p"), False)
                 out.append(f"</{inner}>")
         else:
-            for _ in range(r.integers(1, 4)):
+            for _ in range(r.randrange(1, 4)):
                 text = pick(NOTICES) + " " + prose(1, 12) if r.random() < 0.4 else prose(1, 40 if kind == "div" else 15)
                 if r.random() < 0.35:
                     truth.append(False)
@@ -331,7 +336,7 @@ def training_page(r: np.random.Generator) -> tuple[str, list[bool]]:
             out.append(f"<{tag}{attrs}>")
         if r.random() < 0.85:
             block(prose(1, 12), pick("h1 h1 h2"), True)
-        for _ in range(r.integers(1, 4) if r.random() < 0.2 else r.integers(3, 25)):
+        for _ in range(r.randrange(1, 4) if r.random() < 0.2 else r.randrange(3, 25)):
             kind = r.random()
             if kind < 0.74:
                 block(prose(1, 6) if r.random() < 0.15 else prose(6, 90), pick("p p p p p p div"), True)
@@ -339,7 +344,7 @@ def training_page(r: np.random.Generator) -> tuple[str, list[bool]]:
                 block(prose(1, 8), pick("h2 h3 h4"), True)
             elif kind < 0.86:
                 out.append(pick(["<ul>", "<ol>"]))
-                for _ in range(r.integers(2, 6)):
+                for _ in range(r.randrange(2, 6)):
                     block(prose(2, 15), "li", True)
                 out.append("</ul></ol>")
             elif kind < 0.9:
@@ -348,7 +353,7 @@ def training_page(r: np.random.Generator) -> tuple[str, list[bool]]:
                 out.append("</blockquote>")
             elif kind < 0.93:
                 out.append("<table>")
-                for _ in range(r.integers(1, 4)):
+                for _ in range(r.randrange(1, 4)):
                     out.append("<tr>")
                     for _ in range(2):
                         block(prose(1, 4), "td", True)
@@ -361,7 +366,7 @@ def training_page(r: np.random.Generator) -> tuple[str, list[bool]]:
                 around(pick(["section", "div", "footer"]))
             out.append(f"</{tag}>")
 
-    plain = int(r.integers(0, 3))
+    plain = r.randrange(0, 3)
     out.append("<!DOCTYPE html><html><head><title>x</title><style>p{}</style></head><body>")
     out += [f"<div{named(PLAIN_NAMES) if r.random() < 0.8 else ''}>"] * plain
     for kind in ("header", "nav", "div", "aside", "form"):
@@ -377,12 +382,12 @@ def training_page(r: np.random.Generator) -> tuple[str, list[bool]]:
 
 
 @functools.cache
-def trained(pages: int = 1500, epochs: int = 4, seed: int = 5) -> Labeller:
+def trained(pages: int = 1500, epochs: int = 5, seed: int = 5) -> Labeller:
     """A labeller trained on ``pages`` made-up pages; the same for the same arguments."""
-    r, net = np.random.default_rng(seed), Labeller()
+    made_up, r, net = random.Random(seed), np.random.default_rng(seed), Labeller()
     made = []
     while len(made) < pages:
-        html, truth = training_page(r)
+        html, truth = training_page(made_up)
         found = blocks(html)
         if found and len(found) == len(truth):
             made.append((found, np.array(truth, np.float32)))
