@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 FEATURES = 1 << 15
@@ -167,9 +167,9 @@ def fit(docs: DataFrame, learn: Column, text_col: str = "text", lang_col: str =
     return train(sorted(sample), idf, languages, **options)
 
 
-def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The rows with ``lang_pred`` and ``score``; of the text's columns nothing else is read. No learned language: ``und``."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # fixed size: languages times FEATURES
+def guess(spark: SparkSession, model: Model, text: Column) -> Column:
+    """(lang_pred, score) of a text. No learned language: ``und``."""
+    sent = spark.sparkContext.broadcast(model)  # fixed size: languages times FEATURES
 
     def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = sent.value
@@ -178,8 +178,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
             langs, scores = zip(*found) if found else ((), ())
             yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=["lang_pred", "score"])
 
-    guess = F.arrow_udf(run, "struct<lang_pred: string, score: double>")
-    return docs.withColumn("_guess", guess(F.col(text_col))).withColumns({"lang_pred": F.col("_guess.lang_pred"), "score": F.col("_guess.score")}).drop("_guess")
+    return F.arrow_udf(run, "struct<lang_pred: string, score: double>")(text)
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **options) -> DataFrame:
@@ -191,14 +190,13 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     """
     fold = F.crc32(F.col(id_col).cast("string").cast("binary")) % 3
     model = fit(docs, F.col(id_col).isNotNull() & (fold != 1), text_col, lang_col, **options)
-    found = predict(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text")), model, "_text")
+    found = docs.select(F.col(id_col).alias("doc_id"), guess(docs.sparkSession, model, F.col(text_col)).alias("guess"))
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
-    return found.select("doc_id", F.coalesce(fold == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
+    return found.select("doc_id", F.coalesce(fold == 1, F.lit(False)).alias("held_out"), "guess.lang_pred", "guess.score")
 
 
 def keep_known(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **options) -> DataFrame:
     """The documents whose language can be told; those predicted ``und`` go. Columns are those of ``docs``."""
     fold = F.crc32(F.col(id_col).cast("string").cast("binary")) % 3
     model = fit(docs, F.col(id_col).isNotNull() & (fold != 1), text_col, lang_col, **options)
-    found = predict(docs.withColumn("_text", F.col(text_col)), model, "_text")
-    return found.filter(F.col("lang_pred") != UNKNOWN).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.filter(guess(docs.sparkSession, model, F.col(text_col))["lang_pred"] != UNKNOWN)
