@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import csv
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,13 +47,56 @@ def csv_options(multi_line: bool = True) -> dict[str, str]:
             "emptyValue": ""}
 
 
-def read_raw(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:
-    return spark.read.schema(text_schema(schema)).options(**csv_options(multi_line)).csv(path)
+def _filesystem(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def files(spark: SparkSession, path: str) -> list[str]:
+    """The data files at or directly below ``path``; names that start with ``_`` or ``.`` are skipped."""
+    fs, place = _filesystem(spark, path)
+    found = [s.getPath() for s in fs.listStatus(place) if s.isFile()]
+    return sorted(f.toString() for f in found if f.getName()[0] not in "_.")
+
+
+def header(spark: SparkSession, file: str) -> tuple[str, ...]:
+    """Column names of one file, upper case; empty if the file is. Only its first line is read."""
+    fs, place = _filesystem(spark, file)
+    stream = fs.open(place)
+    try:
+        line = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream, "ISO-8859-1")).readLine()
+    finally:
+        stream.close()
+    names = next(csv.reader([(line or "").removeprefix("\u00ef\u00bb\u00bf")]), [])
+    return tuple(n.strip().upper() for n in names)
+
+
+def read_raw(spark: SparkSession, paths: str | list[str], schema: T.StructType, multi_line: bool = True) -> DataFrame:
+    """The contract's columns as text, by name, and ``_absent``: contract columns that the row's file lacks.
+
+    Files may hold more columns, in any order. Files with equal headers are read together; short rows are filled with NULL. A file
+    that lacks a column gives one row, its path in ``_file``. A file without a header line is empty.
+    """
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for file in (files(spark, paths) if isinstance(paths, str) else paths):
+        by_header.setdefault(header(spark, file), []).append(file)
+    layout = T.StructType([*text_schema(schema).fields, T.StructField("_absent", T.ArrayType(T.StringType())), T.StructField("_file", T.StringType())])
+    parts = []
+    for names, group in sorted(by_header.items()):
+        absent = [f.name for f in schema if f.name.upper() not in names]
+        if absent and any(names):
+            parts.append(spark.createDataFrame([(*[None] * len(schema), absent, file) for file in group], layout))
+        elif not absent:
+            places = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
+            rows = spark.read.schema(places).options(**csv_options(multi_line)).csv(group)
+            parts.append(rows.select(*[F.col(f"c{names.index(f.name.upper())}").alias(f.name) for f in schema],
+                                     F.lit(None).cast("array<string>").alias("_absent"), F.lit(None).cast("string").alias("_file")))
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], layout)
 
 
 def clean(raw: DataFrame, schema: T.StructType, missing: tuple[str, ...] = MISSING) -> DataFrame:
     """Texts that mean "missing" become NULL, in every column."""
-    return raw.select(*[F.when(~col(f.name).isin(*missing), col(f.name)).alias(f.name) for f in schema])
+    return raw.select(*[F.when(~col(f.name).isin(*missing), col(f.name)).alias(f.name) for f in schema], *[c for c in ("_absent", "_file") if c in raw.columns])
 
 
 def _typed(field: T.StructField) -> Column:
@@ -57,15 +104,21 @@ def _typed(field: T.StructField) -> Column:
     return value if isinstance(field.dataType, T.StringType) else F.trim(value).try_cast(field.dataType)
 
 
-def split_typed(cleaned: DataFrame, schema: T.StructType) -> Loaded:
-    """Rows where every given value fits its type, and the others as JSON with the failing columns."""
+def judge(cleaned: DataFrame, schema: T.StructType) -> DataFrame:
+    """The rows with ``_failing``: columns whose given value doesn't fit the type, or that the row's file lacks."""
     bad = {f.name: col(f.name).isNotNull() & _typed(f).isNull()
            for f in schema if not isinstance(f.dataType, T.StringType)}
-    failing = F.array_compact(F.array(*[F.when(b, F.lit(n)) for n, b in bad.items()])) if bad else F.array()
-    judged = cleaned.withColumn("_failing", failing)
+    failing = F.array_compact(F.array(*[F.when(b, F.lit(n)) for n, b in bad.items()]).cast("array<string>"))
+    if "_absent" not in cleaned.columns:
+        cleaned = cleaned.withColumns({"_absent": F.lit(None).cast("array<string>"), "_file": F.lit(None).cast("string")})
+    return cleaned.withColumn("_failing", F.coalesce("_absent", failing))
+
+
+def parted(judged: DataFrame, schema: T.StructType) -> Loaded:
+    """Typed rows, and the others as JSON with the failing columns; of a file without the columns, its path."""
     good = judged.filter(F.size("_failing") == 0).select(*[_typed(f).alias(f.name) for f in schema])
-    rejected = judged.filter(F.size("_failing") > 0).select(
-        F.to_json(F.struct(*[col(f.name) for f in schema])).alias("raw"), F.col("_failing").alias("columns"))
+    raw = F.when(F.col("_file").isNotNull(), F.to_json(F.struct(F.col("_file").alias("file")))).otherwise(F.to_json(F.struct(*[col(f.name) for f in schema])))
+    rejected = judged.filter(F.size("_failing") > 0).select(raw.alias("raw"), F.col("_failing").alias("columns"))
     return Loaded(good, rejected)
 
 
@@ -76,17 +129,37 @@ def stamp(df: DataFrame, table: str, run_ts: str) -> DataFrame:
     return df.withColumn("PROCESSED_DTTM", value)
 
 
-def load(spark: SparkSession, table: str, path: str, run_ts: str, schema: T.StructType | None = None,
+def _judged(spark: SparkSession, table: str, paths: str | list[str], schema: T.StructType, multi_line: bool) -> DataFrame:
+    return judge(clean(read_raw(spark, paths, schema, multi_line), schema, markers(table)), schema)
+
+
+def _stamped(parts: Loaded, table: str, run_ts: str) -> Loaded:
+    return Loaded(stamp(parts.good, table, run_ts), parts.rejected.withColumn("table_name", F.lit(table)))
+
+
+def load(spark: SparkSession, table: str, path: str | list[str], run_ts: str, schema: T.StructType | None = None,
          multi_line: bool = True) -> Loaded:
-    """One extract: bad rows are set aside, the rest is loaded."""
+    """One extract, a folder or files: bad rows are set aside, the rest is loaded."""
     schema = schema or EXTRACTS[table]
-    parts = split_typed(clean(read_raw(spark, path, schema, multi_line), schema, markers(table)), schema)
-    return Loaded(stamp(parts.good, table, run_ts), parts.rejected.withColumn("table_name", F.lit(table)))
+    return _stamped(parted(_judged(spark, table, path, schema, multi_line), schema), table, run_ts)
 
 
-def load_all(spark: SparkSession, root: str, out: str, run_ts: str, multi_line: bool = True) -> None:
-    """All extracts below ``root/<TABLE>/`` to Parquet; each is replaced, rejects go to one folder."""
-    for table in sorted(EXTRACTS):
-        parts = load(spark, table, f"{root}/{table}/", run_ts, multi_line=multi_line)
-        parts.good.write.mode("overwrite").parquet(f"{out}/{table}")
-        parts.rejected.write.mode("overwrite").parquet(f"{out}/_rejected/{table}")
+def store(spark: SparkSession, table: str, path: str | list[str], good: str, rejected: str, run_ts: str, schema: T.StructType | None = None,
+          multi_line: bool = True) -> None:
+    """Load one extract into two folders, which are replaced. The files are parsed once: the judged rows are kept for both writes."""
+    schema = schema or EXTRACTS[table]
+    judged = _judged(spark, table, path, schema, multi_line).persist(StorageLevel.DISK_ONLY)
+    try:
+        parts = _stamped(parted(judged, schema), table, run_ts)
+        parts.good.write.mode("overwrite").parquet(good)
+        parts.rejected.write.mode("overwrite").parquet(rejected)
+    finally:
+        judged.unpersist()
+
+
+def load_all(spark: SparkSession, root: str, out: str, run_ts: str, multi_line: bool = True, at_once: int = 4) -> None:
+    """All extracts below ``root/<TABLE>/`` to Parquet, several at a time; each is replaced, rejects go to one folder."""
+    with ThreadPoolExecutor(at_once) as pool:
+        jobs = [pool.submit(store, spark, t, f"{root}/{t}/", f"{out}/{t}", f"{out}/_rejected/{t}", run_ts, None, multi_line) for t in sorted(EXTRACTS)]
+        for job in jobs:
+            job.result()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,8 +17,24 @@ def read(spark: SparkSession, path: str, schema: T.StructType | None = None) ->
 
 
 def replace(df: DataFrame, path: str) -> None:
-    """Create or replace. ``df`` must not read ``path``."""
-    df.write.mode("overwrite").parquet(path)
+    """Create or replace; ``df`` may read ``path``.
+
+    The new table is written beside the old one and swapped in by renaming, so a failed job leaves the old one. A run that stops
+    between the two renames leaves it as ``<path>.old``.
+    """
+    spark = df.sparkSession
+    new, old = f"{path}.new-{uuid.uuid4().hex}", f"{path}.old"
+    df.write.mode("errorifexists").parquet(new)
+    at_path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = at_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(at_path(path)):
+        fs.delete(at_path(old), True)
+        if not fs.rename(at_path(path), at_path(old)):
+            raise RuntimeError(f"{path} can't be renamed")
+    if not fs.rename(at_path(new), at_path(path)):
+        raise RuntimeError(f"{new} can't be renamed to {path}")
+    fs.delete(at_path(old), True)
+    spark.catalog.refreshByPath(path)
 
 
 def append(df: DataFrame, path: str, contract: T.StructType) -> None:

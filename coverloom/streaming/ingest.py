@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from coverloom.functions.schemas import EXTRACTS
-from coverloom.sources.extracts import clean, csv_options, markers, split_typed, stamp, text_schema
+from coverloom.sources.extracts import store
 
 
 def ingest(spark: SparkSession, table: str, landing: str, out: str, checkpoint: str, run_ts: str,
@@ -18,15 +17,12 @@ def ingest(spark: SparkSession, table: str, landing: str, out: str, checkpoint:
     failure leaves no copies.
     """
     schema = schema or EXTRACTS[table]
-    raw = (spark.readStream.schema(text_schema(schema)).options(**csv_options(multi_line))
-           .option("maxFilesPerTrigger", files_per_batch).csv(landing))
+    # Only names are streamed; the files are read by their own headers.
+    names = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").option("maxFilesPerTrigger", files_per_batch).load(landing).select("path")
 
-    def store(batch: DataFrame, number: int) -> None:
-        parts = split_typed(clean(batch, schema, markers(table)), schema)
-        stamp(parts.good, table, run_ts).write.mode("overwrite").parquet(f"{out}/{table}/batch={number}")
-        rejected = parts.rejected.withColumn("table_name", F.lit(table))
-        rejected.write.mode("overwrite").parquet(f"{out}/_rejected/{table}/batch={number}")
+    def take(batch: DataFrame, number: int) -> None:
+        paths = sorted(r["path"] for r in batch.collect())  # files_per_batch at most
+        store(spark, table, paths, f"{out}/{table}/batch={number}", f"{out}/_rejected/{table}/batch={number}", run_ts, schema, multi_line)
 
-    query = (raw.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
-             .trigger(availableNow=True).start())
+    query = names.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()

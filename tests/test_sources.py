@@ -40,6 +40,27 @@ def test_tolerant_load(spark, folder):
     assert '"AMOUNT":"abc"' in bad[0]["raw"]
 
 
+def test_columns_go_by_name(spark, tmp_path):
+    place = tmp_path / "landing"
+    place.mkdir()
+    (place / "a.csv").write_bytes(b"EXTRA,code,AMOUNT,A$ID,NAME\n9,AB,100,1,x\n9,CD,7\n")
+    (place / "b.csv").write_bytes(b"A$ID,NAME\n5,lost\n6,lost\n")
+    (place / "c.csv").write_bytes(b"")
+    (place / "_hidden.csv").write_bytes(b"no")
+    parts = extracts.load(spark, "OTHER", str(place), TS, SCHEMA)
+    assert rows(parts.good.drop("PROCESSED_DTTM")) == [(None, None, Decimal(7), "CD"), (1, "x", Decimal(100), "AB")]
+    bad = parts.rejected.collect()
+    assert len(bad) == 1 and bad[0]["columns"] == ["AMOUNT", "CODE"] and "b.csv" in bad[0]["raw"]
+
+
+def test_replace_may_read_what_it_replaces(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.replace(spark.range(3), path)
+    tables.replace(tables.read(spark, path).selectExpr("id + 1 AS id"), path)
+    assert rows(tables.read(spark, path)) == [(1,), (2,), (3,)]
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
 def test_overflow_marks_are_missing_only_in_receipts(spark, folder):
     parts = extracts.load(spark, "RECIBO", str(folder), TS, SCHEMA)
     assert [r[0] for r in rows(parts.good, "A$ID")] == [1, 2, 3, 4, 6, 7]
