@@ -62,7 +62,7 @@ def bands_shipped(t: Star):
 @register("monthly", X + """ SELECT CAST(date_trunc('month', eff) AS DATE) AS MONTH, count(DISTINCT pk) AS NEW_POLICIES, round(sum(CAST(amt AS DOUBLE)), 2) AS PREMIUM,
   count(DISTINCT CASE WHEN term IS NOT NULL THEN pk END) AS TERMINATED FROM x WHERE eff >= DATE '2020-01-01' AND eff < DATE '2026-07-01' GROUP BY 1""")
 def monthly(t: Star):
-    return _rounded(portfolio.monthly_trend(t.exposures()), PREMIUM=2)
+    return _rounded(portfolio.monthly_trend(t.exposures(), "2020-01-01", "2026-07-01"), PREMIUM=2)
 
 
 _CONC = """, c AS (SELECT kind AS COVERAGE_TYPE_CD, name AS COVERAGE_NAME, count(DISTINCT pk) AS NUM_POLICIES, sum(amt) AS total, sum(cash) AS cash, avg(CAST(amt AS DOUBLE)) AS a
@@ -99,7 +99,7 @@ def leaders(t: Star):
 @register("by_year", X + """ SELECT CAST(year(term) AS INTEGER) AS TERMINATION_YEAR, count(DISTINCT pk) AS TERMINATED_POLICIES, round(sum(CAST(amt AS DOUBLE)), 2) AS LOST_PREMIUM
   FROM x WHERE year(term) BETWEEN 2015 AND 2026 GROUP BY 1""")
 def by_year(t: Star):
-    return _rounded(portfolio.terminations_by_year(t.exposures()), LOST_PREMIUM=2)
+    return _rounded(portfolio.terminations_by_year(t.exposures(), 2015, 2026), LOST_PREMIUM=2)
 
 
 @register("status_dist", X + " SELECT status AS STATUS_CODE, count(DISTINCT pk) AS NUM_POLICIES, round(sum(CAST(amt AS DOUBLE)), 2) AS TOTAL_PREMIUM FROM x GROUP BY 1")

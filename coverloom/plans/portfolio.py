@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from coverloom.functions.exprs import col, is_open, percent
-from coverloom.operators.aggregates import distinct_where, share_of_total
+from coverloom.operators.aggregates import share_of_total
 from coverloom.operators.joins import with_stats
 
 # Upper band edges (inclusive) and labels.
@@ -29,13 +29,22 @@ def scope(table: DataFrame, current_only: bool = False) -> DataFrame:
     return table.filter(is_open("VALID_TO_DTTM")) if current_only else table
 
 
+def per_policy(rows: DataFrame, *by: Column, **sums: Column) -> DataFrame:
+    """One row per ``by`` and policy with sums and ``_ended``, whether any row is ended.
+
+    Two distinct counts at once would make Spark expand every row; counting these rows needs none.
+    """
+    return rows.groupBy(*by, "POLICY_RK").agg(*[c.alias(n) for n, c in sums.items()], F.max(ended()).alias("_ended"))
+
+
 def kpis(table: DataFrame, current_only: bool = False) -> DataFrame:
-    policies = F.count_distinct("POLICY_RK")
-    terminated = distinct_where(ended(), "POLICY_RK")
-    return scope(table, current_only).agg(
-        F.count(F.lit(1)).alias("TOTAL_EXPOSURES"), policies.alias("TOTAL_POLICIES"),
-        F.sum(premium()).alias("TOTAL_PREMIUM"), F.avg(premium()).alias("AVG_PREMIUM"),
-        F.sum(premium("CASH_VALUE")).alias("TOTAL_CASH_VALUE"), terminated.alias("TERMINATED_POLICIES"),
+    per = per_policy(scope(table, current_only), _rows=F.count(F.lit(1)), _premium=F.sum(premium()), _priced=F.count("ANNUAL_PREMIUM_AMT"),
+                     _cash=F.sum(premium("CASH_VALUE")))
+    policies, terminated = F.count("POLICY_RK"), F.count(F.when(F.col("_ended"), col("POLICY_RK")))
+    return per.agg(
+        F.coalesce(F.sum("_rows"), F.lit(0)).alias("TOTAL_EXPOSURES"), policies.alias("TOTAL_POLICIES"),
+        F.sum("_premium").alias("TOTAL_PREMIUM"), (F.sum("_premium") / F.nullif(F.sum("_priced"), F.lit(0))).alias("AVG_PREMIUM"),
+        F.sum("_cash").alias("TOTAL_CASH_VALUE"), terminated.alias("TERMINATED_POLICIES"),
         percent(terminated, policies).alias("LAPSE_RATE_PCT"))
 
 
@@ -54,13 +63,13 @@ def premium_bands(table: DataFrame, bands: list[tuple[float, str]] = BANDS, top:
             .orderBy("PREMIUM_BAND"))
 
 
-def monthly_trend(table: DataFrame, start: str = "2020-01-01", end: str = "2026-07-01",
-                  current_only: bool = False) -> DataFrame:
+def monthly_trend(table: DataFrame, start: str, end: str, current_only: bool = False) -> DataFrame:
+    """Months from ``start`` up to, without, ``end``."""
     day = col("EFFECTIVE_DT")
     rows = scope(table, current_only).filter((day >= F.lit(start).cast("date")) & (day < F.lit(end).cast("date")))
-    return (rows.groupBy(F.trunc("EFFECTIVE_DT", "MM").alias("MONTH"))
-            .agg(F.count_distinct("POLICY_RK").alias("NEW_POLICIES"), F.sum(premium()).alias("PREMIUM"),
-                 distinct_where(ended(), "POLICY_RK").alias("TERMINATED"))
+    per = per_policy(rows, F.trunc("EFFECTIVE_DT", "MM").alias("MONTH"), _premium=F.sum(premium()))
+    return (per.groupBy("MONTH").agg(F.count("POLICY_RK").alias("NEW_POLICIES"), F.sum("_premium").alias("PREMIUM"),
+                                     F.count(F.when(F.col("_ended"), col("POLICY_RK"))).alias("TERMINATED"))
             .orderBy("MONTH"))
 
 
@@ -99,7 +108,7 @@ def leaders(outliers_: DataFrame, n: int = 10) -> DataFrame:
             .select("POLICY_RK", "STATUS", "PREMIUM", "Z_SCORE"))
 
 
-def terminations_by_year(table: DataFrame, first: int = 2015, last: int = 2026, current_only: bool = False) -> DataFrame:
+def terminations_by_year(table: DataFrame, first: int, last: int, current_only: bool = False) -> DataFrame:
     day = col("X_POLICY_TERMINATION_DT")
     # A date range instead of a test on year(): it reaches the scan.
     rows = scope(table, current_only).filter(day.between(F.lit(f"{first}-01-01").cast("date"), F.lit(f"{last}-12-31").cast("date")))

@@ -39,7 +39,7 @@ def test_bands_take_their_upper_edge(frame):
 def test_year_filter_reaches_the_scan(star, tmp_path):
     path = str(tmp_path / "exposures")
     star.exposures().write.parquet(path)
-    plan = portfolio.terminations_by_year(star.spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
+    plan = portfolio.terminations_by_year(star.spark.read.parquet(path), 2015, 2026)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(X_POLICY_TERMINATION_DT,2015-01-01)" in plan
     assert "CASH_VALUE" not in plan.split("ReadSchema")[1]
 
