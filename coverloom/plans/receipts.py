@@ -192,8 +192,11 @@ def history(receipts_: DataFrame, events_: DataFrame, movements_: DataFrame, mis
 
 # ------------------------------------------------------------------ stage 1
 
-def adjust(rows: DataFrame, hot_rows: int | None = None, probe: DataFrame | None = None) -> DataFrame:
-    """Status-dependent dates. Input: multiplied rows with EVENT_02_DT, HAS_03, CHARGED, PROD_ID."""
+def adjust(rows: DataFrame, hot_rows: int | None = None, probe: DataFrame | None = None, missing: str = SAS) -> DataFrame:
+    """Status-dependent dates. Input: multiplied rows with EVENT_02_DT, HAS_03, CHARGED, PROD_ID.
+
+    With ``missing="sql"`` an absent product leaves the rule for cancelled receipts unknown, and the general date applies.
+    """
     status = col("STATUS_CD")
     rows = along(
         rows, [ID],
@@ -204,8 +207,8 @@ def adjust(rows: DataFrame, hot_rows: int | None = None, probe: DataFrame | None
         hot_rows=hot_rows, probe=probe)
     before = F.col("_before.STATUS_CD")
     came = F.coalesce(F.col("EVENT_02_DT"), F.col("X_CREATION_DT"))
-    special = F.coalesce((col("PROD_ID") == "0850") & (before == EMITTED), F.lit(False))
-    skipped = ~F.coalesce(before.isin(PROCESSED, RETURNED), F.lit(False)) & col("HAS_03").isNull() & ~special
+    special = (col("PROD_ID") == "0850") & F.coalesce(before == EMITTED, F.lit(False))
+    skipped = ~F.coalesce(before.isin(PROCESSED, RETURNED), F.lit(False)) & col("HAS_03").isNull() & unless(special, missing)
     processed = (F.when(~status.isin(PROCESSED, COLLECTED, CANCELLED), _none("date"))
                  .when((status == CANCELLED) & skipped, _none("date"))
                  .when((status == CANCELLED) & special, col("X_CREATION_DT"))
@@ -247,7 +250,7 @@ def stage_states(recibo: DataFrame, mopec1: DataFrame, evento: DataFrame, moviml
     # Five narrow columns, read by the check for hot receipts and by the join.
     observed = materialise(history(base, ev, mv, missing, null_aware, hot_rows), "observations")
     rows = J.join_spread(observed, wide, [ID], hot_rows)
-    rows = adjust(rows, hot_rows, probe=observed)
+    rows = adjust(rows, hot_rows, observed, missing)
     shared = base.filter(col("TRANS_SUB_TYPE_CD") == 9)
     rows = J.lookup(rows, shared, [ID, "POLICY_NO"], [ID, "POLICY_NO"], {"_shared": "X_RESULT_PARTICIPATION_FLG"})
     rows = rows.withColumn("X_RESULT_PARTICIPATION_FLG", F.coalesce("_shared", F.lit("0")))
@@ -351,11 +354,13 @@ def regularisations(recrel: DataFrame, staffed: DataFrame, with_mod: bool = True
     return J.lookup(links, paid, ["RELATED_ID"], [ID], {"X_REGULARIZATION_DT": "TRANS_DT"})
 
 
-def regularise(rows: DataFrame, links: DataFrame) -> DataFrame:
-    """Regularisation date; sub-type 6 and unknown sub-types leave."""
+def regularise(rows: DataFrame, links: DataFrame | None) -> DataFrame:
+    """Regularisation date; sub-type 6 and unknown sub-types leave. ``links=None``: no receipt is linked."""
     rows = rows.filter(col("TRANS_SUB_TYPE_CD") != "6")
-    rows = J.lookup(rows, links, [ID], ["ORIGINAL_ID"], {"_linked": "X_REGULARIZATION_DT"},
-                    only=col("X_TRANS_STATUS_CD") == "5")
+    if links is None:
+        rows = rows.withColumn("_linked", _none("date"))
+    else:
+        rows = J.lookup(rows, links, [ID], ["ORIGINAL_ID"], {"_linked": "X_REGULARIZATION_DT"}, only=col("X_TRANS_STATUS_CD") == "5")
     own = (F.substring("POLICY_NO", 1, 2) == "21") & (col("TRANS_SUB_TYPE_CD") == "9")
     return rows.withColumn("X_REGULARIZATION_DT", F.when(own, col("TRANS_DT")).otherwise(F.col("_linked"))).drop("_linked")
 
@@ -367,17 +372,20 @@ def withdrawn_policies(apol00: DataFrame) -> DataFrame:
             .distinct().select("POLICY_NO"))
 
 
-def correct_withdrawals(rows: DataFrame, apol00: DataFrame) -> DataFrame:
-    """Last receipts of withdrawn policies take the amounts of the first collected receipt."""
+def correct_withdrawals(rows: DataFrame, apol00: DataFrame, staffed: DataFrame | None = None) -> DataFrame:
+    """Last receipts of withdrawn policies take the amounts of the first collected receipt.
+
+    The receipts are found in ``staffed`` where it is given, the stored table that ``rows`` come from: the steps between add synthetic
+    rows, which need no exchange, and leave these columns alone. So the wide steps are computed once.
+    """
+    source = (rows if staffed is None else with_synthetic(staffed)).filter(col("TRANS_SUB_TYPE_CD") != "6")
     # Withdrawn policies are all of class 21, so other rows leave before the join.
-    mine = rows.filter(F.substring("POLICY_NO", 1, 2) == "21")
-    withdrawn = withdrawn_policies(apol00)
-    last = mine.filter((col("TRANS_SUB_TYPE_CD") == "9") & col("TRANS_DT").isNotNull())
-    first = mine.filter((col("X_TRANS_STATUS_CD") == "5") & (col("TRANS_SUB_TYPE_CD") != "9")
-                        & (col("TRANS_GROSS_AMT") != 0))
-    last = last.select("POLICY_NO", ID).join(withdrawn, "POLICY_NO")
-    first = first.select("POLICY_NO", col("TRANS_GROSS_AMT").alias("GROSS"),
-                         col("TRANS_NET_AMT").alias("NET")).join(withdrawn, "POLICY_NO")
+    mine = source.filter(F.substring("POLICY_NO", 1, 2) == "21").select(
+        "POLICY_NO", ID, "TRANS_SUB_TYPE_CD", "TRANS_DT", "X_TRANS_STATUS_CD", "TRANS_GROSS_AMT", "TRANS_NET_AMT")
+    mine = materialise(mine.join(withdrawn_policies(apol00), "POLICY_NO"), "withdrawn-receipts")
+    last = mine.filter((col("TRANS_SUB_TYPE_CD") == "9") & col("TRANS_DT").isNotNull()).select("POLICY_NO", ID)
+    first = mine.filter((col("X_TRANS_STATUS_CD") == "5") & (col("TRANS_SUB_TYPE_CD") != "9") & (col("TRANS_GROSS_AMT") != 0))
+    first = first.select("POLICY_NO", col("TRANS_GROSS_AMT").alias("GROSS"), col("TRANS_NET_AMT").alias("NET"))
     fixes = last.join(first, "POLICY_NO")
     out = J.lookup(rows, fixes, [ID, "POLICY_NO"], [ID, "POLICY_NO"], {"_gross": "GROSS", "_net": "NET"})
     return out.withColumns({"TRANS_GROSS_AMT": F.coalesce("_gross", "TRANS_GROSS_AMT"),
@@ -393,5 +401,6 @@ def stage_final(staffed: DataFrame, recrel: DataFrame, apol00: DataFrame, *, wit
     rows = with_synthetic(staffed)
     order = ["X_TRANS_STATUS_CD", "X_MOV_DT", "X_EXIT_DT", *_TIES, "X_EMPLOYEE_EXT_ID"]
     rows = first_processed(rows, order, False, hot_rows, probe=staffed)
-    rows = regularise(rows, regularisations(recrel, staffed, with_mod))
-    return S.shape(correct_withdrawals(rows, apol00), S.FINAL_STATES)
+    # Keys with the product class are longer than receipt keys: no join, the date is NULL.
+    rows = regularise(rows, None if with_mod else regularisations(recrel, staffed, False))
+    return S.shape(correct_withdrawals(rows, apol00, staffed), S.FINAL_STATES)

@@ -222,3 +222,13 @@ def test_second_run_loads_no_closed_receipt_twice(star, tmp_path):
     daily.run_transactions(x, dimensions(star), out, RUN_TS)
     assert read("X_LIFE_POLICY_TRANS_HIST").count() == history
     assert read("LIFE_POLICY_TRANS").count() == current
+
+
+def test_absent_product_under_either_reading(spark):
+    rows_ = spark.sql("""SELECT 'r' AS POLICY_TRANS_ID, pos AS POS, status AS STATUS_CD, date(day) AS OBS_DT, '' AS REASON_CD, date'2026-05-05' AS EVENT_02_DT, string(prod) AS PROD_ID,
+      'p' AS POLICY_NO, 1 AS TRANS_GROSS_AMT, boolean(null) AS HAS_03, boolean(null) AS CHARGED, date'2026-03-03' AS X_CANCEL_DT, date'2026-01-01' AS X_CREATION_DT
+      FROM VALUES (1, 0, '2026-01-01', null), (2, 1, '2026-01-02', null), (3, 9, '2026-01-03', null) AS t(pos, status, day, prod)""")
+    found = {m: R.adjust(rows_, missing=m).filter("STATUS_CD = 9").first()["X_PROCESSED_DT"] for m in ("sas", "sql")}
+    assert found["sas"] is None and str(found["sql"]) == "2026-05-05"
+    other = R.adjust(rows_.withColumn("PROD_ID", F.lit("0850")), missing="sql").filter("STATUS_CD = 9").first()["X_PROCESSED_DT"]
+    assert str(other) == "2026-01-01"
