@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from coverloom.functions import schemas as S
 from coverloom.functions.exprs import SAS
@@ -57,8 +57,20 @@ def run_exposures(x: dict[str, DataFrame], changed: DataFrame, group: DataFrame,
                         f"{out}/stage/coverages")
         images = _store(exposure.stage_images(x["APOL00"], x["APOL03"], covers, changed, group, policy_versions,
                                               missing=missing, hot_rows=hot_rows), f"{out}/stage/images")
-        table = scd2.full_load(images, dims.policy, dims.proposal, dims.coverage, dims.category, run_ts, hot_rows=hot_rows)
-        tables.replace(table, f"{out}/LIFE_UNIT_OF_EXPOSURE")
+        loaded = _store(scd2.full_load(images, dims.policy, dims.proposal, dims.coverage, dims.category, run_ts, dedup=False, hot_rows=hot_rows),
+                        f"{out}/stage/exposures")
+        removed = _store(scd2.pk_removed(loaded), f"{out}/LIFE_UNIT_OF_EXPOSURE_REMOVED")
+        table = _store(scd2.pk_dedup(loaded), f"{out}/LIFE_UNIT_OF_EXPOSURE")
+    spark = table.sparkSession
+    log = tables.monitor_row(spark, "DEDUP", "COMPLETE", scd2.dedup_audit(table, removed), run_ts)
+    tables.append(log, f"{out}/PIPELINE_MONITOR_LOG", S.MONITOR_LOG)
+
+
+def check_quality(spark: SparkSession, out: str, lapsed: Column, run_ts: str) -> None:
+    """Alerts about the loaded exposures, appended to the alert table; none where nothing is found."""
+    table = tables.read(spark, f"{out}/LIFE_UNIT_OF_EXPOSURE", S.EXPOSURE)
+    alerts = quality.anomaly_alert(table, run_ts).unionByName(quality.lapse_alert(table, lapsed, run_ts))
+    tables.append(alerts, f"{out}/DATA_QUALITY_ALERTS", S.ALERTS)
 
 
 def finish(spark: SparkSession, out: str, run_ts: str) -> None:

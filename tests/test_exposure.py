@@ -1,6 +1,7 @@
 from datetime import date, datetime
 from decimal import Decimal
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -11,6 +12,7 @@ from coverloom.functions.exprs import text, triple
 from coverloom.operators.aggregates import difference
 from coverloom.plans import exposure as E
 from coverloom.plans import scd2
+from coverloom.sources import tables
 
 OPEN = datetime(5999, 1, 1)
 
@@ -159,3 +161,27 @@ def test_incremental_is_idempotent(star):
     assert difference(once, twice).count() == 0
     assert once.filter(text("UOE_RK").isNull()).count() == 0
     assert once.groupBy(*scd2.NATURAL_KEY).agg(F.count_distinct("UOE_RK").alias("n")).filter("n > 1").count() == 0
+
+
+def test_stored_step_changes_nothing_the_second_time(star, tmp_path):
+    path = str(tmp_path / "exposures")
+    history = XQ._order_table(star, False).withColumn("VALID_TO_DTTM", F.lit("2020-01-01").cast("timestamp_ntz"))
+    tables.replace(XQ._order_table(star, False).unionByName(history).withColumn("DIGEST_VALUE", F.lit("other separator")), path)
+    new = XQ._order_table(star, True)
+    scd2.step(path, new, RUN_TS)
+    read = lambda: tables.read(star.spark, path, S.EXPOSURE)
+    tables.replace(read(), str(tmp_path / "once"))
+    once = tables.read(star.spark, str(tmp_path / "once"))
+    assert once.filter("VALID_TO_DTTM = TIMESTAMP_NTZ '2020-01-01'").count() == history.count()
+    scd2.step(path, new, "2026-08-01 00:00:00")
+    assert difference(once, read()).count() == 0
+    with pytest.raises(ValueError, match="incoming rows repeat"):
+        scd2.step(path, new.unionByName(new), RUN_TS)
+    assert difference(once, read()).count() == 0
+
+
+def test_removed_rows_are_the_rest(star):
+    table = XQ.loaded(star, dedup=False)
+    kept, removed = scd2.pk_dedup(table), scd2.pk_removed(table)
+    audit = scd2.dedup_audit(kept, removed).first()
+    assert audit["rows"] == kept.count() and audit["rows"] + audit["removed"] == table.count() and audit["removed"] >= audit["removed_without_coverage"] > 0
