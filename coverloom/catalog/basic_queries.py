@@ -72,10 +72,10 @@ def valid_from(t: Star):
     return t.lines.select("l_orderkey", "l_partkey", "l_linenumber", scd2.valid_from("l_linenumber", changed, RUN_TS).alias("since"))
 
 
-@register("typed_projection", """SELECT 'Db2' AS source, CAST(l_orderkey AS INTEGER) AS order_no, CAST(CAST(l_extendedprice AS DECIMAL(18,2)) / 100 AS DECIMAL(18,5)) AS amount,
+@register("typed_projection", """SELECT 'Db2' AS source, CAST(l_orderkey AS BIGINT) AS order_no, CAST(CAST(l_extendedprice AS DECIMAL(18,2)) / 100 AS DECIMAL(18,5)) AS amount,
   CAST(NULL AS DATE) AS closed_on, l_returnflag AS flag FROM lineitem""")
 def typed_projection(t: Star):
-    contract = S.schema("source:string order_no:int amount:decimal(18,5) closed_on:date flag:string")
+    contract = S.schema("source:string order_no:long amount:decimal(18,5) closed_on:date flag:string")
     rows = t.lines.select(col("l_orderkey").alias("order_no"), cents(col("l_extendedprice").cast("decimal(18,2)")).alias("amount"), col("l_returnflag").alias("flag"))
     return S.shape(rows, contract, source=F.lit("Db2"))
 

@@ -57,6 +57,11 @@ class Model:
         return rows.groupBy(*columns).agg(*values)
 
 
+def words_of(lines: str) -> dict[str, str]:
+    """``NAME: word, word`` lines as {word: NAME}."""
+    return {word.strip(): name.strip() for name, words in (line.split(":") for line in lines.strip().splitlines()) for word in words.split(",")}
+
+
 def _ended() -> Column:
     return col("X_POLICY_TERMINATION_DT").isNotNull()
 
@@ -81,22 +86,32 @@ EXPOSURES = Model(
         "INSURANCE_POLICY": ("POLICY_NO X_POLICY_NO_EXT ORIGINAL_POLICY_NO X_SEQ_NO X_PRODUCT_CATEGORY_CD POLICY_VERSION "
                              "POLICY_STATUS_CD STATUS_DT STATUS_REASON_CD EFFECTIVE_FROM_DTTM EFFECTIVE_TO_DTTM").split(),
         "COVERAGE": "COVERAGE_RK COVERAGE_CD X_COVERAGE_SHORT_DESC COVERAGE_TYPE_CD COVERAGE_DESC".split(),
-        # Described in the model, but no relationship leads there.
-        "PRODUCT_CATEGORY": ("PRODUCT_CATEGORY_RK PRODUCT_CATEGORY_CD PRODUCT_CATEGORY_DESC PRODUCT_CATEGORY_TYPE_CD "
-                             "X_LOB_RK").split(),
-        "X_BUSINESS_STRUCTURE": ("BSN_STRUCTURE_RK DDN_EXT_CD DDN_INT_ID DDN_SHORT_DESC DDN_DESC REGION_ID CCAM_EXT_ID "
-                                 "CCAM_INT_ID CCAM_DESC CCAM_CENTRAL_TAX AGENCY_EXT_ID AGENCY_INT_ID AGENCY_DESC "
-                                 "AGENCY_STATUS LAST_MOV_DT").split(),
     },
     relationships=[Relationship("COVERAGE_RIDER_RK", "COVERAGE", "COVERAGE_RK", "inner"),
                    Relationship("POLICY_RK", "INSURANCE_POLICY", "POLICY_RK", "left")],
-    synonyms={
-        "total premium": "TOTAL_PREMIUM", "total cash value": "TOTAL_CASH_VALUE", "policy count": "NUM_POLICIES",
-        "average premium": "AVG_PREMIUM", "exposure count": "NUM_EXPOSURES", "cancelled policies": "TERMINATED_POLICIES",
-        "lost premium": "LOST_PREMIUM", "policy status": "X_POLICY_STATUS_CD", "status": "X_POLICY_STATUS_CD",
-        "renewable": "RENEWABLE_IND", "line of business": "LOB_RK", "coverage type": "COVERAGE_TYPE_CD",
-        "coverage name": "X_COVERAGE_SHORT_DESC", "coverage code": "COVERAGE_CD", "policy number": "POLICY_NO",
-    },
+    synonyms=words_of("""
+        POLICY_RK: policy key, policy identifier
+        X_POLICY_STATUS_CD: policy status, status, estado da apolice
+        RENEWABLE_IND: renewable, renovavel
+        LOB_RK: line of business, ramo
+        X_ADMISSION_DT: admission date, issue date, data de admissao
+        EFFECTIVE_DT: effective date, start date, data de inicio
+        EXPIRATION_DT: expiration date, end date, data de vencimento
+        X_POLICY_TERMINATION_DT: termination date, cancellation date, data de cancelamento
+        TOTAL_PREMIUM: total premium, prima total
+        TOTAL_CASH_VALUE: total cash value, valor total
+        NUM_POLICIES: policy count, numero de apolices
+        AVG_PREMIUM: average premium, prima media
+        NUM_EXPOSURES: exposure count, numero de exposicoes
+        TERMINATED_POLICIES: cancelled policies, apolices canceladas
+        LOST_PREMIUM: lost premium, prima perdida
+        POLICY_NO: policy number, numero da apolice
+        X_PRODUCT_CATEGORY_CD: product category, categoria de produto
+        POLICY_STATUS_CD: estado
+        STATUS_REASON_CD: status reason, motivo
+        COVERAGE_CD: coverage code, codigo de cobertura
+        X_COVERAGE_SHORT_DESC: coverage name, nome da cobertura
+        COVERAGE_TYPE_CD: coverage type, tipo de cobertura"""),
 )
 
 

@@ -6,6 +6,7 @@ from coverloom.catalog.portfolio_queries import _coverage, _reconciled, _tables
 from coverloom.catalog.star import RUN_TS
 from coverloom.functions import schemas as S
 from coverloom.plans import daily, governance, metrics, portfolio, quality
+from coverloom.sources import tables
 
 
 def table(frame, *given):
@@ -86,6 +87,14 @@ def test_masking(spark):
     assert rows(governance.mask_columns(df, {"name": "NAME"}, "DATA_ENGINEER")) == rows(df)
     with pytest.raises(ValueError):
         governance.mask_columns(df, {"name": "SHOE_SIZE"}, "ANALYST")
+    with pytest.raises(ValueError, match="only text"):
+        governance.mask_columns(df.withColumn("n", F.lit(1)), {"n": "NAME"}, "ANALYST")
+
+
+def test_every_synonym_names_a_part_of_the_model():
+    model = metrics.EXPOSURES
+    known = {*model.metrics, *(d for names in model.dimensions.values() for d in names)}
+    assert set(model.synonyms.values()) <= known and model.name("Apolices Canceladas") == "TERMINATED_POLICIES"
 
 
 def test_exposure_run_and_completion_marker(star, tmp_path):
@@ -95,7 +104,14 @@ def test_exposure_run_and_completion_marker(star, tmp_path):
                             employee=star.employees(), structure=star.structures())
     daily.run_exposures(x, star.stored("changed_images"), star.group_images(), star.policy_versions(), dims, out, RUN_TS)
     star.spark.range(3).write.parquet(f"{out}/LIFE_POLICY_TRANS")
+    daily.check_quality(star.spark, out, F.col("X_POLICY_STATUS_CD") == "R", RUN_TS)
+    daily.check_quality(star.spark, out, F.col("X_POLICY_STATUS_CD") == "R", RUN_TS)
+    alerts = tables.read(star.spark, f"{out}/DATA_QUALITY_ALERTS")
+    assert alerts.columns == S.ALERTS.fieldNames() and alerts.count() % 2 == 0
     daily.finish(star.spark, out, RUN_TS)
-    marker = star.spark.read.parquet(f"{out}/PIPELINE_MONITOR_LOG").first()
+    log = star.spark.read.parquet(f"{out}/PIPELINE_MONITOR_LOG")
+    marker = log.filter("CHECK_TYPE = 'PIPELINE_RUN'").first()
+    removed = star.spark.read.parquet(f"{out}/LIFE_UNIT_OF_EXPOSURE_REMOVED").count()
+    assert f'"removed":{removed},' in log.filter("CHECK_TYPE = 'DEDUP'").first()["DETAILS"]
     n = star.spark.read.parquet(f"{out}/LIFE_UNIT_OF_EXPOSURE").count()
     assert marker["STATUS"] == "COMPLETE" and f'"uoe_rows":{n},"lpt_rows":3' in marker["DETAILS"]
