@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from coverloom.functions.exprs import at, col
-from coverloom.operators.ordered import HOT_ROWS, MAX_SLICES, hot_groups, latest_per_key
+from coverloom.operators.ordered import HOT_ROWS, MAX_SLICES, NEVER, hot_groups, latest_per_key
 from coverloom.session import materialise
 
 
@@ -51,12 +51,12 @@ def join_spread(big: DataFrame, small: DataFrame, keys: list[str], hot_rows: int
     frequent keys this is a plain join.
     """
     limit = HOT_ROWS if hot_rows is None else hot_rows
-    hot = hot_groups(big, keys, limit)
+    hot = None if limit >= NEVER else hot_groups(big, keys, limit)
     if hot is None:
         return big.join(small, keys)
     parts = F.least(F.lit(MAX_SLICES), F.ceil(F.col("_size") / F.lit(limit))).cast("int")
+    # At most rows / hot_rows keys are frequent; stored, so Spark knows their size and broadcasts them by it.
     marked = materialise(hot, "hot-keys").select(*[col(k) for k in keys], parts.alias("_parts"))
-    marked = F.broadcast(marked)  # at most rows / hot_rows keys are frequent
     count = F.coalesce("_parts", F.lit(1))
     salt = F.pmod(F.xxhash64(*[col(c) for c in big.columns]), count).cast("int")
     left = big.join(marked, keys, "left").withColumn("_salt", salt).drop("_parts")
@@ -70,9 +70,10 @@ def lookup_spread(df: DataFrame, big: DataFrame, keys: list[str], take: list[str
     """Left join on equally named keys, where a key of the looked-up side may be frequent."""
     renamed = {c: f"{prefix}{c}" for c in take}
     side = big.select(*[col(k) for k in keys], *[col(c).alias(n) for c, n in renamed.items()])
-    if hot_groups(side, keys, HOT_ROWS if hot_rows is None else hot_rows) is None:
+    limit = HOT_ROWS if hot_rows is None else hot_rows
+    if limit >= NEVER or hot_groups(side, keys, limit) is None:
         return df.join(side, keys, "left")
-    matched = join_spread(side, df, keys, hot_rows)
+    matched = join_spread(side, df, keys, limit)
     return matched.unionByName(absent(df, side, keys), allowMissingColumns=True)
 
 

@@ -20,7 +20,7 @@ from coverloom.session import materialise
 
 HOT_ROWS = 5_000_000
 NEVER = 2**62  # as ``hot_rows``: the caller knows that no group is hot
-MAX_SLICES = 4096
+MAX_SLICES = 4096  # a group above MAX_SLICES * hot_rows rows has larger slices
 _BLOCK = 64  # cut points are searched in two steps of at most 64 comparisons each
 _DRAWS = 50  # sampled rows per wanted slice; the sample only places the cuts
 
@@ -89,9 +89,9 @@ def _cuts(df: DataFrame, keys: list[str], order: list[Asc], hot_rows: int) -> Da
     if hot is None:
         return None
     slices = F.least(F.lit(MAX_SLICES), F.ceil(F.col("_size") / F.lit(hot_rows))).cast("int")
-    # At most rows / hot_rows groups are hot.
+    # At most rows / hot_rows groups are hot. Stored, so Spark knows their size; no side is broadcast by hint.
     small = materialise(hot, "hot-groups").select(*_renamed(keys, "_h"), "_size", slices.alias("_slices"))
-    rows = df.join(F.broadcast(small), _all(_same(keys, "_h")), "inner")
+    rows = df.join(small, _all(_same(keys, "_h")), "inner")
     drawn = (rows.filter(F.rand(7) < F.lit(_DRAWS) * F.col("_slices") / F.col("_size"))
              .groupBy(*[col(k) for k in keys])
              .agg(F.sort_array(F.collect_list(_position(order))).alias("_drawn"),
@@ -111,7 +111,7 @@ def _with_slices(df: DataFrame, keys: list[str], order: list[Asc], cuts: DataFra
     block = F.greatest(reached(coarse) - 1, F.lit(0))
     fine = F.slice(F.col("_cuts"), block * _BLOCK + 1, F.lit(_BLOCK))
     number = F.when(F.col("_cuts").isNull(), 0).otherwise(block * _BLOCK + reached(fine) + 1)
-    small = F.broadcast(cuts.select(*_renamed(keys, "_c"), "_cuts"))
+    small = cuts.select(*_renamed(keys, "_c"), "_cuts")
     joined = df.join(small, _all(_same(keys, "_c")), "left")
     return joined.withColumn("_slice", number).drop("_cuts", *[f"_c{i}" for i in range(len(keys))])
 
@@ -169,10 +169,10 @@ def along(
     if cuts is None:
         return out
 
-    edges = _edges(df, keys, order, prev, next, earlier, whole)
     # One row per slice: at most 2 * rows / hot_rows of them.
+    edges = materialise(_edges(df, keys, order, prev, next, earlier, whole), "slice-edges")
     on = _all([*_same(keys, "_e"), F.col("_slice") == F.col("_e_slice")])
-    joined = out.join(F.broadcast(edges), on, "left")
+    joined = out.join(edges, on, "left")
     rows_before = F.coalesce(F.col("_rows_before"), F.lit(0))
     done: dict[str, Column] = {}
     if prev:

@@ -16,7 +16,7 @@ from coverloom.functions.exprs import (
 )
 from coverloom.operators import joins as J
 from coverloom.operators.explode import observe
-from coverloom.operators.ordered import HOT_ROWS, along, latest_per_key
+from coverloom.operators.ordered import HOT_ROWS, NEVER, along, hot_limit, latest_per_key
 from coverloom.session import materialise
 
 ID = "POLICY_TRANS_ID"
@@ -26,6 +26,7 @@ CREATED, EMITTED, PROCESSED, RETURNED, COLLECTED, CANCELLED = 0, 1, 2, 3, 5, 9
 RECEIPT_POS = {CREATED: 0, EMITTED: 1, PROCESSED: 100, RETURNED: 300, COLLECTED: 500, CANCELLED: 900}
 EVENT_STATUS = {"30": (CREATED, 0), "33": (CANCELLED, 900), "02": (PROCESSED, 200)}
 MOVEMENT_POS = 299
+_FEES = ["X_SUBS_CHARGE_AMT", "X_SUBS_FEE_AMT", "X_MANAGEMENT_FEE_AMT"]
 
 
 def _none(kind: str = "string") -> Column:
@@ -81,12 +82,11 @@ def without_loaded(receipts_: DataFrame, history: DataFrame | None) -> DataFrame
 
 def enrich(receipts_: DataFrame, fees_: DataFrame) -> DataFrame:
     """Fees, closed flag; fan-out kept."""
-    names = ["X_SUBS_CHARGE_AMT", "X_SUBS_FEE_AMT", "X_MANAGEMENT_FEE_AMT"]
     out = J.lookup(receipts_, fees_, ["RCNANO", "RCNMES", "RCNSEQ"], ["EDNANO", "EDNMES", "EDNSEQ"],
-                   {n: n for n in names})
+                   {n: n for n in _FEES})
     closed = F.when(col("X_TRANS_STATUS_CD").isin(COLLECTED, CANCELLED), "Y").otherwise("N")
     return out.withColumns({
-        **{n: F.coalesce(col(n), F.lit(0)).cast(S.AMOUNT) for n in names},
+        **{n: F.coalesce(col(n), F.lit(0)).cast(S.AMOUNT) for n in _FEES},
         "X_IS_CLOSED_FLG": closed, "ORIGINAL_POLICY_TRANS_ID": F.lit("")})
 
 
@@ -171,7 +171,7 @@ def movement_rows(movements_: DataFrame, hot_rows: int | None = None) -> DataFra
     # A movement yields at most two rows, so counting movements is enough to find hot receipts.
     probe = movements_.select(ID, F.coalesce("EXIT_DT", "ENTRY_DT").alias("OBS_DT"))
     limit = HOT_ROWS if hot_rows is None else hot_rows
-    ranked = along(rows, [ID], ["OBS_DT", "STATUS_CD", "REASON_CD"], rank="_rank", hot_rows=limit // 2, probe=probe)
+    ranked = along(rows, [ID], ["OBS_DT", "STATUS_CD", "REASON_CD"], rank="_rank", hot_rows=limit if limit >= NEVER else limit // 2, probe=probe)
     return ranked.select(ID, "STATUS_CD", "OBS_DT", "REASON_CD",
                          (col("_rank") + MOVEMENT_POS).cast("int").alias("POS"))
 
@@ -193,14 +193,15 @@ def history(receipts_: DataFrame, events_: DataFrame, movements_: DataFrame, mis
 # ------------------------------------------------------------------ stage 1
 
 def adjust(rows: DataFrame, hot_rows: int | None = None, probe: DataFrame | None = None, missing: str = SAS) -> DataFrame:
-    """Status-dependent dates. Input: multiplied rows with EVENT_02_DT, HAS_03, CHARGED, PROD_ID.
+    """Status-dependent dates. Input: multiplied rows with EVENT_02_DT, HAS_03, CHARGED, PROD_ID; fees, where given, break ties.
 
     With ``missing="sql"`` an absent product leaves the rule for cancelled receipts unknown, and the general date applies.
     """
     status = col("STATUS_CD")
     rows = along(
         rows, [ID],
-        ["POS", "STATUS_CD", "OBS_DT", "REASON_CD", "EVENT_02_DT", "PROD_ID", "POLICY_NO", "TRANS_GROSS_AMT"],
+        ["POS", "STATUS_CD", "OBS_DT", "REASON_CD", "EVENT_02_DT", "PROD_ID", "POLICY_NO", "TRANS_GROSS_AMT",
+         *[c for c in _FEES if c in rows.columns]],
         prev=("_before", ["STATUS_CD"]),
         whole={"_created": F.when(status == CREATED, col("OBS_DT")),
                "_emitted": F.when(status == EMITTED, col("OBS_DT"))},
@@ -235,8 +236,10 @@ def stage_states(recibo: DataFrame, mopec1: DataFrame, evento: DataFrame, moviml
                  apol00: DataFrame, loaded: DataFrame | None = None, *, missing: str = SAS,
                  null_aware: bool = False, hot_rows: int | None = None) -> DataFrame:
     """First stage: one row per lifecycle status of every receipt that is not yet in the history."""
-    base = without_loaded(receipts(recibo, missing), loaded)
-    ev, mv = events(evento), movements(moviml)
+    # Stored, as several branches read them: extracts and history are read once, and dates are parsed once.
+    base = materialise(without_loaded(receipts(recibo, missing), loaded), "receipts")
+    ev = materialise(events(evento).filter(col("EVENT_STATUS_CD").isin("03", *EVENT_STATUS)), "events")
+    mv = movements(moviml)
     info = enrich(base, fees(mopec1))
     # The product is attached before the receipt is multiplied: same rows, a narrower shuffle.
     info = J.lookup(info, products(apol00), ["POLICY_NO"], ["POLICY_NO"], {"PROD_ID": "PROD_ID"})
@@ -248,9 +251,12 @@ def stage_states(recibo: DataFrame, mopec1: DataFrame, evento: DataFrame, moviml
     wide = J.lookup(wide, charged, [ID], [ID], {"CHARGED": "CHARGED"})
     wide = J.lookup(wide, ev.filter(col("EVENT_STATUS_CD") == "02"), [ID], [ID], {"EVENT_02_DT": "EVENT_DT"})
     # Five narrow columns, read by the check for hot receipts and by the join.
-    observed = materialise(history(base, ev, mv, missing, null_aware, hot_rows), "observations")
-    rows = J.join_spread(observed, wide, [ID], hot_rows)
-    rows = adjust(rows, hot_rows, observed, missing)
+    # One count finds hot receipts for both merges, another for the join and the window after it.
+    given = hot_limit(ev.select(ID).unionByName(mv.select(ID)), [ID], HOT_ROWS // 2 if hot_rows is None else hot_rows // 2)
+    observed = materialise(history(base, ev, mv, missing, null_aware, given if given >= NEVER else hot_rows), "observations")
+    limit = hot_limit(observed, [ID], hot_rows)
+    rows = J.join_spread(observed, wide, [ID], limit)
+    rows = adjust(rows, limit, observed, missing)
     shared = base.filter(col("TRANS_SUB_TYPE_CD") == 9)
     rows = J.lookup(rows, shared, [ID, "POLICY_NO"], [ID, "POLICY_NO"], {"_shared": "X_RESULT_PARTICIPATION_FLG"})
     rows = rows.withColumn("X_RESULT_PARTICIPATION_FLG", F.coalesce("_shared", F.lit("0")))
@@ -290,7 +296,7 @@ def with_employee(states: DataFrame, reci0x: DataFrame, entvin: DataFrame, entre
 
 #: Sort order that separates all rows which differ in any visible date or code.
 _TIES = ["X_RET_REASON_CD", "X_PROCESSED_DT", "TRANS_DT", "X_CANCEL_DT", "X_TRANS_PREVIOUS_STATUS_CD",
-         "POLICY_NO", "TRANS_GROSS_AMT"]
+         "POLICY_NO", "TRANS_GROSS_AMT", *_FEES]
 
 
 def first_processed(rows: DataFrame, order: list[str], empty_frame_is_zero: bool,
@@ -372,7 +378,7 @@ def withdrawn_policies(apol00: DataFrame) -> DataFrame:
             .distinct().select("POLICY_NO"))
 
 
-def correct_withdrawals(rows: DataFrame, apol00: DataFrame, staffed: DataFrame | None = None) -> DataFrame:
+def correct_withdrawals(rows: DataFrame, apol00: DataFrame, staffed: DataFrame | None = None, hot_rows: int | None = None) -> DataFrame:
     """Last receipts of withdrawn policies take the amounts of the first collected receipt.
 
     The receipts are found in ``staffed`` where it is given, the stored table that ``rows`` come from: the steps between add synthetic
@@ -386,7 +392,8 @@ def correct_withdrawals(rows: DataFrame, apol00: DataFrame, staffed: DataFrame |
     last = mine.filter((col("TRANS_SUB_TYPE_CD") == "9") & col("TRANS_DT").isNotNull()).select("POLICY_NO", ID)
     first = mine.filter((col("X_TRANS_STATUS_CD") == "5") & (col("TRANS_SUB_TYPE_CD") != "9") & (col("TRANS_GROSS_AMT") != 0))
     first = first.select("POLICY_NO", col("TRANS_GROSS_AMT").alias("GROSS"), col("TRANS_NET_AMT").alias("NET"))
-    fixes = last.join(first, "POLICY_NO")
+    # A policy's receipts of both kinds meet in pairs, so a policy with many is spread.
+    fixes = J.join_spread(last, first, ["POLICY_NO"], hot_rows)
     out = J.lookup(rows, fixes, [ID, "POLICY_NO"], [ID, "POLICY_NO"], {"_gross": "GROSS", "_net": "NET"})
     return out.withColumns({"TRANS_GROSS_AMT": F.coalesce("_gross", "TRANS_GROSS_AMT"),
                             "TRANS_NET_AMT": F.coalesce("_net", "TRANS_NET_AMT")}).drop("_gross", "_net")
@@ -403,4 +410,4 @@ def stage_final(staffed: DataFrame, recrel: DataFrame, apol00: DataFrame, *, wit
     rows = first_processed(rows, order, False, hot_rows, probe=staffed)
     # Keys with the product class are longer than receipt keys: no join, the date is NULL.
     rows = regularise(rows, None if with_mod else regularisations(recrel, staffed, False))
-    return S.shape(correct_withdrawals(rows, apol00, staffed), S.FINAL_STATES)
+    return S.shape(correct_withdrawals(rows, apol00, staffed, hot_rows), S.FINAL_STATES)
