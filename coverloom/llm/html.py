@@ -186,7 +186,7 @@ class Labeller:
             x[i, :len(page), PATH_WIDTH:PATH_WIDTH + WORD_WIDTH] = np.add.reduceat(self.p["word"][words], starts) / sizes[:, None]
         return x, mask, used
 
-    def _run(self, x, mask, d: str):
+    def _run(self, x, mask, d: str, keep: bool):
         a, u = x @ self.p[f"w{d}"] + self.p[f"c{d}"], self.p[f"u{d}"]
         n, longest, _ = x.shape
         h, c = np.zeros((n, HIDDEN), np.float32), np.zeros((n, HIDDEN), np.float32)
@@ -197,19 +197,20 @@ class Labeller:
             i, f, o, g = s[:, :HIDDEN], s[:, HIDDEN:2 * HIDDEN], s[:, 2 * HIDDEN:], np.tanh(z[:, 3 * HIDDEN:])
             new, m = f * c + i * g, mask[:, t, None]
             th = np.tanh(new)
-            kept.append((t, h, c, i, f, o, g, th, m))
+            if keep:
+                kept.append((t, h, c, i, f, o, g, th, m))
             h, c = m * (o * th) + (1 - m) * h, m * new + (1 - m) * c
             out[:, t] = h
         return out, kept
 
-    def scores(self, x, mask):
-        f, kf = self._run(x, mask, "f")
-        b, kb = self._run(x, mask, "b")
+    def scores(self, x, mask, keep: bool = False):
+        f, kf = self._run(x, mask, "f", keep)
+        b, kb = self._run(x, mask, "b", keep)
         h = np.concatenate([f, b], axis=2)
         return h @ self.p["out"][:-1] + self.p["out"][-1], h, kf, kb
 
     def gradients(self, x, mask, used, truth) -> dict[str, np.ndarray]:
-        z, h, *kept = self.scores(x, mask)
+        z, h, *kept = self.scores(x, mask, keep=True)
         dz = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - truth) * mask / mask.sum()
         g = {k: np.zeros_like(v) for k, v in self.p.items()}
         g["out"][:-1], g["out"][-1] = np.einsum("bt,bth->h", dz, h), dz.sum()
@@ -233,12 +234,18 @@ class Labeller:
             np.add.at(g["word"], words, dx[i, k, PATH_WIDTH:PATH_WIDTH + WORD_WIDTH] / len(words))
         return g
 
-    def label(self, pages: list[list[Block]], size: int = 128) -> list[np.ndarray]:
-        """For each page, for each block, whether it is main text."""
+    def label(self, pages: list[list[Block]], cells: int = 1 << 15) -> list[np.ndarray]:
+        """For each page, for each block, whether it is main text.
+
+        Pages of like length share a batch of at most ``cells`` padded blocks, so one very long page costs its own blocks only.
+        """
         out: list = [np.zeros(0, bool)] * len(pages)
-        order = sorted((i for i in range(len(pages)) if pages[i]), key=lambda i: len(pages[i]))
-        for at in range(0, len(order), size):
-            some = order[at:at + size]
+        batches: list[list[int]] = [[]]
+        for i in sorted((i for i in range(len(pages)) if pages[i]), key=lambda i: len(pages[i])):
+            if batches[-1] and (len(batches[-1]) + 1) * len(pages[i]) > cells:
+                batches.append([])
+            batches[-1].append(i)
+        for some in filter(None, batches):
             z, *_ = self.scores(*self.inputs([pages[i] for i in some])[:2])
             for i, row in zip(some, z):
                 out[i] = row[:len(pages[i])] > 0

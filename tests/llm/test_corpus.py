@@ -62,6 +62,16 @@ def test_main_text_of_unseen_pages():
     assert right / total > 0.99
 
 
+def test_a_very_long_page_among_short_ones():
+    long = "<article>" + "<p>A paragraph of the story that goes on and on.</p>" * 20_000 + "</article><footer>Legal</footer>"
+    net = html.trained()
+    got = html.main_texts([PAGE, long, "", PAGE] + [PAGE] * 200, net)
+    assert got[1].count("\n") > 19_000 and got[2] == "" and {got[0], *got[3:]} == set(html.main_texts([PAGE], net))
+    found = [html.blocks(PAGE), html.blocks(long)[:50]]
+    for a, b in zip(net.label(found), net.label(found, cells=1)):
+        assert (a == b).all()
+
+
 def test_main_text_of_given_pages(spark):
     for r in queries.op1_main_text(spark, SF).join(spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "html"), "page_id").collect():
         inside = r.html.split("<article>")[1].split("</article>")[0]
