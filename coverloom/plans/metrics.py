@@ -19,14 +19,31 @@ class Relationship:
     how: str
 
 
+#: Column of the first aggregation that holds the counted key.
+KEY = "_counted"
+
+
+@dataclass(frozen=True)
+class Metric:
+    """``parts`` are aggregates per dimensions, and per counted key too if a metric is ``keyed``; ``value`` combines them.
+
+    Several distinct counts at once would make Spark expand every row; rows of one key each need none.
+    """
+
+    parts: Callable[[], dict[str, Column]]
+    value: Callable[[], Column]
+    keyed: bool = False
+
+
 @dataclass(frozen=True)
 class Model:
-    """Facts with metrics, dimensions by owner table, and the joins that reach other tables."""
+    """Facts with metrics, dimensions by owner table, the joins that reach other tables, and the key that metrics count."""
 
-    metrics: dict[str, Callable[[], Column]]
+    metrics: dict[str, Metric]
     dimensions: dict[str, list[str]]
     relationships: list[Relationship]
     fact: str
+    counted: str
     synonyms: dict[str, str] = field(default_factory=dict)
 
     def name(self, word: str) -> str:
@@ -53,8 +70,13 @@ class Model:
             side = tables[table].select(col(rel.right_column).alias("_k"), *[col(n) for n in wanted])
             rows = rows.join(side, col(rel.left_column) == F.col("_k"), rel.how).drop("_k")
         columns = [(col(n) if e is None else e).alias(n) for n, e in dims]
-        values = [self.metrics[self.name(m)]().alias(self.name(m)) for m in metrics]
-        return rows.groupBy(*columns).agg(*values)
+        chosen = {self.name(m): self.metrics[self.name(m)] for m in metrics}
+        key = [col(self.counted).alias(KEY)] if any(m.keyed for m in chosen.values()) else []
+        parts = {"_rows": F.count(F.lit(1))}
+        for m in chosen.values():
+            parts |= m.parts()
+        per = rows.groupBy(*columns, *key).agg(*[c.alias(n) for n, c in parts.items()])
+        return per.groupBy(*[col(n) for n, _ in dims]).agg(*[m.value().alias(n) for n, m in chosen.items()])
 
 
 def words_of(lines: str) -> dict[str, str]:
@@ -69,14 +91,16 @@ def _ended() -> Column:
 # Metric, dimension and relationship names of the insurance model.
 EXPOSURES = Model(
     fact="LIFE_UNIT_OF_EXPOSURE",
+    counted="POLICY_RK",
     metrics={
-        "TOTAL_PREMIUM": lambda: F.sum("ANNUAL_PREMIUM_AMT"),
-        "TOTAL_CASH_VALUE": lambda: F.sum("CASH_VALUE"),
-        "NUM_POLICIES": lambda: F.count_distinct("POLICY_RK"),
-        "AVG_PREMIUM": lambda: F.avg("ANNUAL_PREMIUM_AMT"),
-        "NUM_EXPOSURES": lambda: F.count(F.lit(1)),
-        "TERMINATED_POLICIES": lambda: F.count_distinct(F.when(_ended(), col("POLICY_RK"))),
-        "LOST_PREMIUM": lambda: F.sum(F.when(_ended(), col("ANNUAL_PREMIUM_AMT")).otherwise(0)),
+        "TOTAL_PREMIUM": Metric(lambda: {"_premium": F.sum("ANNUAL_PREMIUM_AMT")}, lambda: F.sum("_premium")),
+        "TOTAL_CASH_VALUE": Metric(lambda: {"_cash": F.sum("CASH_VALUE")}, lambda: F.sum("_cash")),
+        "NUM_POLICIES": Metric(dict, lambda: F.count(KEY), keyed=True),
+        "AVG_PREMIUM": Metric(lambda: {"_premium": F.sum("ANNUAL_PREMIUM_AMT"), "_priced": F.count("ANNUAL_PREMIUM_AMT")},
+                              lambda: F.sum("_premium") / F.nullif(F.sum("_priced"), F.lit(0))),
+        "NUM_EXPOSURES": Metric(dict, lambda: F.coalesce(F.sum("_rows"), F.lit(0))),
+        "TERMINATED_POLICIES": Metric(lambda: {"_ended": F.max(_ended())}, lambda: F.count(F.when(F.col("_ended"), F.col(KEY))), keyed=True),
+        "LOST_PREMIUM": Metric(lambda: {"_lost": F.sum(F.when(_ended(), col("ANNUAL_PREMIUM_AMT")).otherwise(0))}, lambda: F.sum("_lost")),
     },
     dimensions={
         "LIFE_UNIT_OF_EXPOSURE": ("UOE_RK POLICY_RK X_POLICY_PROPOSAL_RK X_POLICY_VERSION X_ORDER_CD COVERAGE_RIDER_RK "
