@@ -10,7 +10,7 @@ from coverloom.functions import schemas as S
 from coverloom.functions.exprs import SAS
 from coverloom.plans import exposure, quality, receipts, scd2, splitter
 from coverloom.session import scratch_scope
-from coverloom.sources import tables
+from coverloom.sources import extracts, tables
 
 
 @dataclass(frozen=True)
@@ -80,6 +80,20 @@ def finish(spark: SparkSession, out: str, run_ts: str) -> None:
     tables.append(marker, f"{out}/PIPELINE_MONITOR_LOG", S.MONITOR_LOG)
 
 
+def run(spark: SparkSession, landing: str, changed: DataFrame, group: DataFrame, policy_versions: DataFrame, dims: Dimensions, out: str, run_ts: str,
+        lapsed: Column, missing: str = SAS, hot_rows: int | None = None, multi_line: bool = True) -> None:
+    """One day from ``landing/<TABLE>/`` to the tables: extracts replaced, both paths, alerts, completion marker.
+
+    The marker comes last, so it stands only for a run that was completed; a failed run can be repeated as a whole.
+    """
+    extracts.load_all(spark, landing, f"{out}/extracts", run_ts, multi_line)
+    x = {t: tables.read(spark, f"{out}/extracts/{t}") for t in S.EXTRACTS}
+    run_transactions(x, dims, out, run_ts, missing, hot_rows)
+    run_exposures(x, changed, group, policy_versions, dims, out, run_ts, missing, hot_rows)
+    check_quality(spark, out, lapsed, run_ts)
+    finish(spark, out, run_ts)
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)

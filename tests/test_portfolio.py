@@ -1,3 +1,5 @@
+from datetime import date
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -68,6 +70,17 @@ def test_metric_layer_joins_only_what_is_asked(star):
         metrics.EXPOSURES.query(tables, ["NUM_EXPOSURES"], ["NO_SUCH"])
 
 
+def test_metrics_expand_no_rows(star, frame):
+    tables = _tables(star)
+    several = metrics.EXPOSURES.query(tables, ["NUM_POLICIES", "TERMINATED_POLICIES", "AVG_PREMIUM"], ["POLICY_RK", "status"])
+    assert "Expand" not in several._jdf.queryExecution().optimizedPlan().toString() and several.columns[:2] == ["POLICY_RK", "X_POLICY_STATUS_CD"]
+    given = {"LIFE_UNIT_OF_EXPOSURE": table(frame, {"POLICY_RK": 1, "ANNUAL_PREMIUM_AMT": 5}, {"POLICY_RK": 1, "X_POLICY_TERMINATION_DT": date(2020, 1, 1)},
+                                            {"ANNUAL_PREMIUM_AMT": 4, "X_POLICY_TERMINATION_DT": date(2020, 1, 1)}, {"POLICY_RK": 2})}
+    asked = ["NUM_POLICIES", "TERMINATED_POLICIES", "NUM_EXPOSURES", "TOTAL_PREMIUM", "AVG_PREMIUM", "LOST_PREMIUM"]
+    assert tuple(map(float, metrics.EXPOSURES.query(given, asked).first())) == (2, 1, 4, 9, 4.5, 4)
+    assert tuple(metrics.EXPOSURES.query(given, asked, where=F.lit(False)).first()) == (0, 0, 0, None, None, None)
+
+
 def test_reconciliation(star):
     r = _reconciled(star)
     assert r.missing_columns == [] and r.extra_columns == []
@@ -115,3 +128,27 @@ def test_exposure_run_and_completion_marker(star, tmp_path):
     assert f'"removed":{removed},' in log.filter("CHECK_TYPE = 'DEDUP'").first()["DETAILS"]
     n = star.spark.read.parquet(f"{out}/LIFE_UNIT_OF_EXPOSURE").count()
     assert marker["STATUS"] == "COMPLETE" and f'"uoe_rows":{n},"lpt_rows":3' in marker["DETAILS"]
+
+
+def test_two_days_from_landing_to_tables(star, tmp_path):
+    spark, out, landing = star.spark, str(tmp_path / "out"), tmp_path / "landing"
+    given = {"RECIBO": star.stored("recibo"), "MOPEC1": star.mopec1(), "EVENTO": star.stored("evento"), "MOVIML": star.moviml(), "APOL00": star.stored("order_policies"),
+             "RECI0X": star.reci0x(), "ENTVIN": star.entvin(), "ENTREL": star.entrel(), "APOLPA": star.apolpa(), "RECPRO": star.recpro(), "RECREL": star.recrel(),
+             "ACTA00": star.stored("acta00"), "APOL03": star.stored("apol03"), "ACTA03": star.acta03()}
+    for name, schema in S.EXTRACTS.items():
+        df = given.get(name, spark.createDataFrame([], schema))
+        df.coalesce(1).write.options(header=True, encoding="ISO-8859-1", escape='"').csv(f"{landing}/{name}")
+        if name not in given:
+            (landing / name / "empty.csv").write_text(",".join(schema.fieldNames()) + "\n")
+    policy = star.policy_dimension().withColumns({"VALID_FROM_DTTM": F.lit("1990-01-01").cast("timestamp_ntz"), "X_BSN_STRUCTURE_RK": F.lit(7).cast("long")})
+    dims = daily.Dimensions(policy=policy, proposal=star.proposal_dimension(), coverage=star.coverage_dimension(), category=star.category_dimension(),
+                            employee=star.employees(), structure=star.structures())
+    counts = []
+    for _ in range(2):
+        daily.run(spark, str(landing), star.stored("changed_images"), star.group_images(), star.policy_versions(), dims, out, RUN_TS,
+                  F.col("X_POLICY_STATUS_CD") == "R")
+        counts.append({n: spark.read.parquet(f"{out}/{n}").count() for n in ("X_LIFE_POLICY_TRANS_HIST", "LIFE_POLICY_TRANS", "LIFE_UNIT_OF_EXPOSURE", "PIPELINE_MONITOR_LOG")})
+    log, second = counts[0].pop("PIPELINE_MONITOR_LOG"), counts[1].pop("PIPELINE_MONITOR_LOG")
+    assert counts[0] == counts[1] and min(counts[0].values()) > 0 and second == 2 * log  # closed receipts are loaded once
+    for name, df in given.items():
+        assert spark.read.parquet(f"{out}/extracts/{name}").count() == df.count() and spark.read.parquet(f"{out}/extracts/_rejected/{name}").isEmpty()
