@@ -331,6 +331,16 @@ def test_embedding_groups_match_brute_force(spark):
     assert embeddings.near_duplicates(frame.limit(0)).count() == 0
 
 
+def test_buckets_catch_pairs_at_the_threshold():
+    r = np.random.default_rng(1)
+    v, u = (x / np.linalg.norm(x, axis=1)[:, None] for x in r.normal(size=(2, 1500, 64)))
+    u -= (u * v).sum(axis=1)[:, None] * v
+    u = 0.98 * v + np.sqrt(1 - 0.98**2) * u / np.linalg.norm(u, axis=1)[:, None]
+    a, b = embeddings.buckets(v, 6, 2), embeddings.buckets(u, 6, 2)
+    assert (a[:, :, :, None] == b[:, :, None, :]).any(axis=(1, 2, 3)).mean() > 0.999
+    assert (a[:700, :, :, None] == b[700:1400, :, None, :]).any(axis=(1, 2, 3)).mean() < 0.05
+
+
 # --- op9 -----------------------------------------------------------------------------------------------------------------
 
 def test_perspectives(spark):
