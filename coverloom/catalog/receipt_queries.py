@@ -28,9 +28,9 @@ def staffed(t: Star):
     return R.stage_staffed(materialise(states(t), "receipt-states"), t.reci0x(), t.entvin(), t.entrel(), t.apolpa(), t.recpro())
 
 
-def final(t: Star):
+def final(t: Star, with_mod: bool = False):
     stored = materialise(staffed(t), "staffed-states")
-    return R.stage_final(stored, t.recrel(), t.customer_policies(), with_mod=False)
+    return R.stage_final(stored, t.recrel(), t.customer_policies(), with_mod=with_mod)
 
 
 def resolved(t: Star):
@@ -111,8 +111,19 @@ def synthetic_status2(t: Star):
 @register("regularise", Q.TO_FINAL + """ SELECT POLICY_TRANS_ID, X_TRANS_STATUS_CD, X_REGULARIZATION_DT, X_PROCESSED_FLG, count(*) AS n FROM regular
 GROUP BY ALL""")
 def regularise(t: Star):
-    rows = final(t).groupBy("POLICY_TRANS_ID", "X_TRANS_STATUS_CD", "X_REGULARIZATION_DT", "X_PROCESSED_FLG").agg(F.count(F.lit(1)).alias("n"))
-    return rows
+    return _regularised(final(t))
+
+
+@register("regularise_shipped", Q.TO_FINAL + """ SELECT POLICY_TRANS_ID, X_TRANS_STATUS_CD,
+  CASE WHEN left(POLICY_NO, 2) = '21' AND TRANS_SUB_TYPE_CD = '9' THEN TRANS_DT ELSE l.reg END AS X_REGULARIZATION_DT, X_PROCESSED_FLG, count(*) AS n
+FROM reflagged r LEFT JOIN links l ON '21' || l.orig = r.POLICY_TRANS_ID AND r.X_TRANS_STATUS_CD = '5' WHERE TRANS_SUB_TYPE_CD <> '6' GROUP BY ALL""")
+def regularise_shipped(t: Star):
+    """The source system's longer keys, the default of the stage."""
+    return _regularised(final(t, with_mod=True))
+
+
+def _regularised(rows):
+    return rows.groupBy("POLICY_TRANS_ID", "X_TRANS_STATUS_CD", "X_REGULARIZATION_DT", "X_PROCESSED_FLG").agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("amount_correction", Q.TO_FINAL + f" SELECT {_FINAL} FROM final_states")
