@@ -1,0 +1,132 @@
+"""Near-duplicates by similarity of word shingles: banded MinHash finds candidates, the shingle sets themselves decide.
+
+Fingerprints of 64 bits can't cover a similarity of 0.8: at that similarity they differ in about ten bits, far more than anchors
+or blocks can reach. Here each band joins the minima of a few hash functions over a document's shingles. Documents that share a band meet there, and
+their exact Jaccard similarity is computed. Bands with the same members are compared once.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from coverloom.llm import simhash
+from coverloom.llm.common import group_bounds, in_cells, join_labels, whole_groups
+from coverloom.llm.components import components
+from coverloom.session import materialise
+
+_CELL = ["key", "_i", "_j"]
+
+
+def shingle_set(text: str | None, words: int = 5, seed: int = 42) -> np.ndarray:
+    """Ascending hashes of the word shingles of a whole text; of fewer words than a shingle has, they are one shingle. No words: empty."""
+    w = (text or "").encode().lower().split()  # bytes: white space and case are ASCII only
+    if not w:
+        return np.empty(0, np.uint64)
+    h = xxhash.xxh64_intdigest
+    shingles = zip(*[w[k:] for k in range(words)]) if len(w) > words else [w]
+    return np.unique(np.fromiter((h(b" ".join(s), seed) for s in shingles), np.uint64))
+
+
+def band_keys(shingles: np.ndarray, bands: int, rows: int, seed: int = 5, block: int = 1 << 13) -> np.ndarray:
+    """One key a band from the minima of ``rows`` hash functions each. An empty set has minima like any other."""
+    r = np.random.default_rng(seed)
+    odd, shift = r.integers(0, 1 << 64, (2, bands * rows, 1), np.uint64)
+    odd |= np.uint64(1)
+    low = np.full(bands * rows, np.iinfo(np.uint64).max)
+    for at in range(0, len(shingles), block):
+        x = (shingles[None, at:at + block] ^ shift) * odd
+        x ^= x >> np.uint64(32)
+        np.minimum(low, (x * odd).min(axis=1), out=low)
+    return np.array([xxhash.xxh64_intdigest(b.tobytes(), k) for k, b in enumerate(low.reshape(bands, rows))], np.uint64).view(np.int64)
+
+
+def similar(codes: np.ndarray, bounds: np.ndarray, least: float, label: np.ndarray) -> None:
+    """Join in ``label`` the sets ``codes[bounds[k]:bounds[k + 1]]`` whose Jaccard similarity is at least ``least``.
+
+    Pairs that others have joined already aren't compared, so a group around one document costs one pass.
+    """
+    sizes, n = np.diff(bounds), len(bounds) - 1
+    codes = np.unique(codes, return_inverse=True)[1]
+    owner, mine = np.repeat(np.arange(n), sizes), np.zeros(codes.max(initial=0) + 1, bool)
+    for k in range(n - 1):
+        if (label[k:] == label[k]).all():
+            continue
+        own, rest = codes[bounds[k]:bounds[k + 1]], bounds[k + 1]
+        mine[own] = True
+        shared = np.bincount(owner[rest:][mine[codes[rest:]]], minlength=n)[k + 1:]
+        mine[own] = False
+        near = k + 1 + np.flatnonzero(shared >= least * (sizes[k] + sizes[k + 1:] - shared))
+        join_labels(label, np.full(len(near), k), near)
+
+
+def _compare(words: int, least: float):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in whole_groups(batches, _CELL, 1_000):
+            bounds, label, rep = group_bounds(pdf, _CELL), np.arange(len(pdf)), pdf["rep"].to_numpy()
+            for lo, hi in zip(bounds[:-1], bounds[1:]):
+                if hi - lo > 1:
+                    sets, own = [shingle_set(t, words) for t in pdf["text"].iloc[lo:hi]], np.arange(hi - lo)
+                    similar(np.concatenate(sets), np.cumsum([0, *map(len, sets)]), least, own)
+                    label[lo:hi] = lo + own
+            linked = label != np.arange(len(pdf))
+            yield pd.DataFrame({"a": rep[linked], "b": rep[label[linked]]})
+
+    return run
+
+
+def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, least: float = 0.8, bands: int = 24, rows: int = 5,
+          cell_rows: int = 2048) -> DataFrame:
+    """(a, b): ids whose components are those of all pairs with a Jaccard similarity of at least ``least``; rows without id add none.
+
+    A pair of similarity s meets with probability 1 - (1 - s^rows)^bands: 0.99993 at 0.8, more above. Equal sets are one class before anything is
+    compared. A pair that meets is linked exactly if its sets are similar enough. Documents without words are equal. Ids are long.
+    """
+    docs = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    mark = F.xxhash64("text")
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_set(t.as_py(), words) for t in batch.column("text")]
+            content = pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary())
+            keys = pa.array([band_keys(s, bands, rows) for s in sets], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("mark"), content, keys], names=["doc_id", "mark", "content", "keys"])
+
+    sketched = materialise(docs.withColumn("mark", mark).select("doc_id", "mark", "text").mapInArrow(
+        sketch, "doc_id long, mark long, content binary, keys array<long>"), "sketches")
+    first = F.min(F.struct("doc_id", "mark"))
+    classes = materialise(sketched.groupBy("content").agg(first.alias("first")).select("content", "first.*"), "shingle-classes")
+    classes = classes.withColumnsRenamed({"doc_id": "rep"})
+    equal = sketched.select("doc_id", "content").join(classes.select("content", "rep"), "content").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    # a class' keys are those of any of its rows
+    known = sketched.withColumnRenamed("doc_id", "rep").join(classes, ["content", "rep", "mark"], "left_semi").select("rep", "mark", "keys").dropDuplicates(["rep", "mark"])
+    placed = materialise(known.select("rep", "mark", F.explode("keys").alias("key")), "bands")
+    x = F.xxhash64("rep", "mark")
+    members = placed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(x).alias("lo"), F.max(x).alias("hi"), F.bit_xor(x).alias("x"))
+    shared = materialise(members.filter("n > 1").groupBy("n", "lo", "hi", "x").agg(F.min("key").alias("key")).select("key"), "shared-bands")
+    met = materialise(placed.join(shared, "key", "left_semi"), "met")
+    texts = docs.withColumn("mark", mark).join(met.select(F.col("rep").alias("doc_id"), "mark").distinct(), ["doc_id", "mark"], "left_semi")
+    texts = texts.groupBy(F.col("doc_id").alias("rep"), "mark").agg(F.first("text").alias("text"))
+    sample = 16
+    sampled = met.filter(F.pmod(F.xxhash64(F.lit("sample"), "rep", "mark"), F.lit(sample)) == 0)
+    cells = in_cells(met.withColumn("spread", x), ["key"], "spread", cell_rows, sampled, sample).join(texts, ["rep", "mark"])
+    cells = cells.select(*_CELL, "rep", "text").repartition(*_CELL).sortWithinPartitions(*_CELL)
+    return equal.unionByName(cells.mapInPandas(_compare(words, least), "a long, b long"))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The documents without near-duplicates, by similar shingle sets (see ``links``) or by close SimHash fingerprints, both at once.
+
+    Of each group the document with the smallest id stays, once; see ``simhash.keep_one``.
+    """
+    known = docs.filter(F.col(id_col).isNotNull())
+    close = simhash.near_duplicates(known, id_col, text_col).select(F.col("doc_id").alias("a"), F.col("component_id").alias("b"))
+    found = components(links(known, id_col, text_col, **options).unionByName(close))
+    gone = found.filter(F.col("node") != F.col("component")).select(F.col("node").alias(id_col))
+    return simhash.first_rows(docs, known.select(id_col).distinct().join(gone, id_col, "left_anti"), id_col)

@@ -148,7 +148,12 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """
     known = docs.filter(F.col(id_col).isNotNull())
     found = near_duplicates(known, id_col, **options)
-    kept = materialise(found.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(id_col)).distinct(), "kept")
+    return first_rows(docs, found.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(id_col)).distinct(), id_col)
+
+
+def first_rows(docs: DataFrame, kept: DataFrame, id_col: str) -> DataFrame:
+    """For each id of ``kept`` its first row by all columns; rows without id are kept."""
+    known, kept = docs.filter(F.col(id_col).isNotNull()), materialise(kept, "kept")
     sortable = [f.name for f in docs.schema if f.name != id_col and "map<" not in f.dataType.simpleString()]
     first = F.row_number().over(Window.partitionBy(id_col).orderBy(*sortable or [id_col]))
     rows = known.join(kept, id_col, "left_semi").withColumn("_kept_rank", first).filter("_kept_rank = 1")

@@ -10,7 +10,7 @@ import pytest
 import xxhash
 
 import corpus_pipeline
-from coverloom.llm import ann, chat, embeddings, html, langid, mixing, packing, queries, simhash, urls, warc
+from coverloom.llm import ann, chat, embeddings, html, langid, mixing, packing, queries, shingles, simhash, urls, warc
 from coverloom.llm.common import join_labels, prepare
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, key string, fp long, score double, _i int, rank int"
@@ -282,6 +282,43 @@ def test_keep_one(spark):
     assert got.columns == docs.columns and sorted(r.doc_id or 0 for r in got.collect()) == [0, 2, 9]
 
 
+def plain_groups(rows):
+    """Smallest id of each row's group: five-word Jaccard of at least 0.8, or fingerprints within three bits, over all pairs."""
+    sets = [{tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} for w in ((t or "").lower().split() for _, t, *_ in rows)]
+    fps, label = [plain_fingerprint(t) for _, t, *_ in rows], np.arange(len(rows))
+    near = [(i, j) for i in range(len(rows)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) or (fps[i] ^ fps[j]).bit_count() <= 3]
+    join_labels(label, *np.array(near).T)
+    return [min(rows[m][0] for m in range(len(rows)) if label[m] == label[k]) for k in range(len(rows))]
+
+
+def planted_copies():
+    """Documents of 60 words, and near copies of each with up to six changed words."""
+    r, rows = random.Random(12), []
+    for i in range(40):
+        base = [f"w{i}x{r.randrange(1000)}" for _ in range(60)]
+        for k in range(6):
+            changed = list(base)
+            changed[5:5 + k] = [f"new{i}y{k}z{m}" for m in range(k)]
+            rows.append((10 * i + k, " ".join(changed), "xx", "s"))
+    return rows
+
+
+def test_near_copies_of_similarity_0_8_go(spark):
+    rows = planted_copies() + [(901, "a b", None, None), (902, " A  b", None, None), (903, "a c", None, None), (904, None, None, None), (905, "", None, None), (0, "another text of the first id", None, None)]
+    root = plain_groups(rows)
+    fps = {i: plain_fingerprint(t) for i, t, *_ in rows}
+    assert sum(m != i and (fps[i] ^ fps[m]).bit_count() > 3 for (i, *_), m in zip(rows, root)) > 50  # beyond op6's values
+    got = shingles.keep_one(documents(spark, *rows), cell_rows=8)
+    assert sorted(r.doc_id for r in got.collect()) == sorted({i for (i, *_), m in zip(rows, root) if m == i})
+    assert shingles.keep_one(documents(spark)).count() == 0
+
+
+def test_bands_catch_sets_of_similarity_0_8():
+    r = np.random.default_rng(3)
+    pairs = [r.integers(0, 1 << 64, 100, dtype=np.uint64) for _ in range(1000)]
+    assert all((shingles.band_keys(x[:90], 24, 5) == shingles.band_keys(x[10:], 24, 5)).any() for x in pairs)
+
+
 # --- op7 -----------------------------------------------------------------------------------------------------------------
 
 def test_language(spark):
