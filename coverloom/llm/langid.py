@@ -181,6 +181,16 @@ def guess(spark: SparkSession, model: Model, text: Column) -> Column:
     return F.arrow_udf(run, "struct<lang_pred: string, score: double>")(text)
 
 
+def lettered(text: Column) -> Column:
+    """Whether a text has a letter, as ``predict`` sees it."""
+
+    def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in texts:
+            yield pa.array([has_letter(t.as_py()) for t in column], pa.bool_())
+
+    return F.arrow_udf(run, "boolean")(text)
+
+
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **options) -> DataFrame:
     """(doc_id, held_out, lang_pred, score): learns from the rows that aren't held out, predicts all.
 
@@ -196,7 +206,12 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
 
 def keep_known(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **options) -> DataFrame:
-    """The documents whose language can be told; those predicted ``und`` go. Columns are those of ``docs``."""
+    """The documents whose language can be told; those predicted ``und`` go, which have no letter or a null text. Columns are those of ``docs``.
+
+    If there is no row to learn from, all documents with a letter stay.
+    """
     fold = F.crc32(F.col(id_col).cast("string").cast("binary")) % 3
     model = fit(docs, F.col(id_col).isNotNull() & (fold != 1), text_col, lang_col, **options)
+    if not model.languages:
+        return docs.filter(lettered(F.col(text_col)))
     return docs.filter(guess(docs.sparkSession, model, F.col(text_col))["lang_pred"] != UNKNOWN)

@@ -340,6 +340,12 @@ def test_language_edges(spark):
     assert {r.lang_pred for r in langid.identify(documents(spark, (1, "abc", None, None))).collect()} == {"und"}
 
 
+def test_documents_with_letters_stay_when_nothing_was_learnt(spark):
+    docs = documents(spark, (1, "abc", None, None), (2, "12 !?", None, None), (3, None, None, None), (4, "", None, None), (None, "ñ", "xx", None))
+    assert sorted(r.text for r in langid.keep_known(docs).collect()) == ["abc", "ñ"]
+    assert {r.lang_pred for r in langid.identify(docs).collect()} == {"und"}
+
+
 # --- op8 -----------------------------------------------------------------------------------------------------------------
 
 def test_embedding_groups_match_brute_force(spark):
