@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coverloom.llm import ann, chat, embeddings, html, langid, mixing, packing, simhash, urls, warc
+from coverloom.llm import ann, chat, codebooks, divergence, embeddings, html, langid, mixing, packing, simhash, tokens, urls, warc
 from coverloom.llm.common import table
 
 #: Fixed values of the queries.
@@ -122,3 +122,57 @@ def op9_perspectives(spark, sf_dir):
 @register()
 def op10_pack(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_file(), CAPACITY)
+
+
+@register()
+def op11_bpe_round_trip(spark, sf_dir):
+    import public_tokenizers
+
+    return tokens.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@register(r"""
+WITH docs AS (SELECT row_number() OVER () AS d, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+found AS (SELECT d, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+kept AS (SELECT lang, term, count(*)::HUGEINT AS c FROM found GROUP BY lang, term HAVING count(DISTINCT d) >= 10),
+langs AS (SELECT lang, count(*)::HUGEINT AS v, sum(c)::HUGEINT AS n FROM kept GROUP BY lang),
+counts AS (SELECT lang, source, term, count(*)::HUGEINT AS c FROM found SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term),
+groups AS (SELECT lang, source, coalesce(sum(c), 0)::HUGEINT AS n FROM (SELECT DISTINCT lang, source FROM docs) LEFT JOIN counts USING (lang, source) GROUP BY lang, source),
+cells AS (SELECT lang, source, term, coalesce(counts.c, 0) AS c, 1 + 1000000000 * (coalesce(counts.c, 0) + 2) // (groups.n + 2 * v) AS p,
+          1 + 1000000000 * (kept.c + 2) // (langs.n + 2 * v) AS q
+          FROM groups JOIN kept USING (lang) JOIN langs USING (lang) LEFT JOIN counts USING (lang, source, term)),
+pairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)), 0) AS value
+          FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN cells x ON x.lang = a.lang AND x.source = a.source
+          LEFT JOIN cells y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term GROUP BY ALL),
+ranked AS (SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM pairs
+           UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q),
+           row_number() OVER (PARTITION BY lang, source ORDER BY (p - q) * (p - q) // (p + q) DESC, term) FROM cells WHERE c > 0 AND p > q)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 10""")
+def op12_source_divergence(spark, sf_dir):
+    return divergence.audit(table(spark, sf_dir, "documents")).drop("q")
+
+
+def _codes_sql(parts: int = 16, entries: int = 64, rounds: int = 2) -> str:
+    """The rounds of op13 spelled out: ``b0`` is the start, ``a{k}`` assigns parts by ``b{k}``, ``b{k+1}`` moves its entries."""
+    steps = [rf"""
+WITH kept AS (SELECT vec_id, label, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v FROM embeddings
+              WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pieces AS (SELECT vec_id, label, p::INTEGER AS p, v[p * len(v) // {parts} + 1:(p + 1) * len(v) // {parts}] AS x FROM kept, range({parts}) r(p)),
+b0 AS (SELECT p, e, x AS c FROM (SELECT p, x, (row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1)::INTEGER AS e FROM pieces) WHERE e < {entries})"""]
+    for k in range(rounds + 1):
+        steps.append(f"""a{k} AS (SELECT vec_id, label, p, x, arg_min(e, d * {entries} + e) AS e, min(d) AS d FROM (SELECT vec_id, label, pieces.p, x, e,
+       list_sum([(z[1] - z[2]) * (z[1] - z[2]) FOR z IN list_zip(x, c)])::BIGINT AS d FROM pieces JOIN b{k} USING (p)) GROUP BY vec_id, label, p, x)""")
+        if k < rounds:
+            steps.append(f"""m{k} AS (SELECT p, e, list(m ORDER BY i) AS c FROM (SELECT p, e, i, floor(sum(x[i])::DOUBLE / count(*))::BIGINT AS m
+       FROM a{k}, range(1, 4097) r(i) WHERE i <= len(x) GROUP BY p, e, i) GROUP BY p, e),
+b{k + 1} AS (SELECT p, e, coalesce(m{k}.c, b{k}.c) AS c FROM b{k} LEFT JOIN m{k} USING (p, e))""")
+    return ",\n".join(steps) + f""",
+digest AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM b{rounds}),
+coded AS (SELECT vec_id, label, string_agg(lower(lpad(to_hex(e), 2, '0')), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM a{rounds} GROUP BY vec_id, label)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM coded, digest"""
+
+
+@register(_codes_sql())
+def op13_vector_codes(spark, sf_dir):
+    return codebooks.codes(table(spark, sf_dir, "embeddings"))
