@@ -9,7 +9,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from coverloom.llm import langid, mixing, packing, shingles
+from coverloom.llm import langid, mixing, packing, simhash
 from coverloom.llm.common import prepare, table
 from coverloom.llm.queries import CAPACITY, WEIGHTS, tokenizer_file
 from coverloom.session import scratch_dir
@@ -22,9 +22,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays that five-word shingles of similarity 0.8 or op6's SimHash links connect."""
+    """One document of each group of op6 stays: three-word shingles, fingerprints within three bits."""
     prepare(spark)
-    return shingles.keep_one(docs)
+    return simhash.keep_one(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
