@@ -167,11 +167,13 @@ def dq_alerts(t: Star):
     return _rounded(both.select("ALERT_TYPE", "RECORD_COUNT"), RECORD_COUNT=4)
 
 
-def _reconciled(t: Star) -> quality.Reconciliation:
-    """The table against a copy in which one status has other amounts and one column is missing."""
+def _reconciled(t: Star, **other) -> quality.Reconciliation:
+    """The table against a copy in which one status has other amounts; ``other`` columns are added to the copy, or dropped if None."""
     ours = t.exposures().select("UOE_RK", "POLICY_RK", "X_POLICY_VERSION", "X_POLICY_STATUS_CD", "ANNUAL_PREMIUM_AMT", "VALID_TO_DTTM")
     changed = F.when(col("X_POLICY_STATUS_CD") == "A", col("ANNUAL_PREMIUM_AMT") + 1).otherwise(col("ANNUAL_PREMIUM_AMT"))
     theirs = ours.withColumn("ANNUAL_PREMIUM_AMT", changed.cast("decimal(38,2)"))
+    for name, value in other.items():
+        theirs = theirs.drop(name) if value is None else theirs.withColumn(name, value)
     return quality.reconcile(ours, theirs, ["POLICY_RK", "X_POLICY_VERSION"], ["ANNUAL_PREMIUM_AMT"], "X_POLICY_STATUS_CD")
 
 
@@ -198,6 +200,19 @@ def reconcile_status(t: Star):
     return _reconciled(t).distribution
 
 
+_PROFILE = {"POLICY_RK": "pk", "X_POLICY_VERSION": "ver", "X_POLICY_STATUS_CD": "status", "ANNUAL_PREMIUM_AMT": "amt", "IS_OPEN": "op"}
+
+
+@register("reconcile_profile", X + _PAIR + " " + " UNION ALL ".join(
+    [f"""SELECT '{name}' AS column_name, {"NULL" if name == "IS_OPEN" else "'both'"} AS found_in, '{side}' AS side, count(*) AS row_count, count({c}) AS non_null,
+  count(DISTINCT {c}) AS distinct_values FROM {table}""" for name, c in _PROFILE.items() for side, table in (("ours", "a"), ("theirs", "b"))]
+    + [f"SELECT '{name}', '{found}', NULL, NULL, NULL, NULL" for name, found in (("UOE_RK", "ours"), ("VALID_TO_DTTM", "both"), ("LOAD_NO", "theirs"))]))
+def reconcile_profile(t: Star):
+    """Column sets of both sides, where the copy lacks one column and has another, and the profile of what both have."""
+    r = _reconciled(t, UOE_RK=None, LOAD_NO=F.lit(1))
+    return r.columns.join(r.profile, "column_name", "full").select("column_name", "found_in", "side", "row_count", "non_null", "distinct_values")
+
+
 @register("mask_pii", "SELECT c_custkey, '***MASKED***' AS c_name, c_mktsegment FROM customer")
 def mask_pii(t: Star):
     return governance.mask_columns(t.table("customer").select("c_custkey", "c_name", "c_mktsegment"), {"c_name": "NAME"}, "ANALYST")

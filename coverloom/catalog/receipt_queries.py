@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from coverloom.catalog import star_sql as Q
@@ -11,7 +13,8 @@ from coverloom.functions import schemas as S
 from coverloom.functions.exprs import col
 from coverloom.plans import receipts as R
 from coverloom.plans import splitter
-from coverloom.session import materialise
+from coverloom.session import materialise, scratch_dir
+from coverloom.sources.keyed import KeyTable
 
 _STATES = ", ".join(f.name for f in S.RECEIPT_STATES)
 _STAFFED = ", ".join(f.name for f in S.STAFFED_STATES)
@@ -143,7 +146,10 @@ def splitter_hist(t: Star):
 
 @register("skip_loaded", Q.with_(Q.RECEIPT) + " SELECT id AS POLICY_TRANS_ID, st AS X_TRANS_STATUS_CD FROM receipt WHERE st NOT IN (5, 9)")
 def skip_loaded(t: Star):
-    """Incremental step: a history holding all closed receipts leaves the open ones."""
-    base = R.receipts(t.recibo())
-    history = base.filter(col("X_TRANS_STATUS_CD").isin(5, 9)).select("POLICY_TRANS_ID")
-    return R.without_loaded(base, history).select("POLICY_TRANS_ID", "X_TRANS_STATUS_CD")
+    """Incremental step: a history holding all closed receipts leaves the open ones. Receipts and loaded keys are bucketed alike, so neither moves."""
+    base, folder = R.receipts(t.recibo()), f"{scratch_dir(t.spark)}/coverloom-keys/{uuid.uuid4().hex}"
+    given = KeyTable(f"{folder}/receipts", "POLICY_TRANS_ID string, X_TRANS_STATUS_CD int", "POLICY_TRANS_ID", 16)
+    loaded = KeyTable(f"{folder}/loaded", "POLICY_TRANS_ID string", "POLICY_TRANS_ID", 16)
+    given.add(base)
+    loaded.add(base.filter(col("X_TRANS_STATUS_CD").isin(5, 9)))
+    return R.without_loaded(given.read(t.spark), loaded.read(t.spark))

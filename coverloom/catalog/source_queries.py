@@ -14,7 +14,7 @@ from coverloom.functions.exprs import col
 from coverloom.plans import quality
 from coverloom.session import scratch_dir
 from coverloom.sources import extracts
-from coverloom.streaming.ingest import ingest
+from coverloom.streaming.ingest import REPLACE, ingest, present
 
 _SCHEMA = S.schema("ORDER_NO:long PRICE:decimal(18,2) STATUS:string DAY:date")
 
@@ -68,6 +68,20 @@ def stream_ingest(t: Star) -> DataFrame:
     return t.spark.read.parquet(f"{out}/OTHER").select(*_SCHEMA.fieldNames())
 
 
+@register("ingest_replaces", _ROWS + " WHERE o_orderstatus <> 'P' AND o_orderpriority <> '1-URGENT'")
+def ingest_replaces(t: Star) -> DataFrame:
+    """Two deliveries to one landing folder, in several batches each: the second one, without the pending orders, stands for the extract."""
+    landing = _landing(t)
+    out = f"{landing}-out"
+    take = lambda run_ts: ingest(t.spark, "OTHER", landing, out, f"{landing}-offsets", run_ts, _SCHEMA, files_per_batch=5, mode=REPLACE)
+    take("2026-06-30 12:00:00")
+    rows = t.orders.filter((col("o_orderstatus") != "P") & (col("o_orderpriority") != "1-URGENT")).select(
+        col("o_orderkey").alias("ORDER_NO"), col("o_totalprice").cast("decimal(18,2)").alias("PRICE"), col("o_orderstatus").alias("STATUS"), F.col("d").alias("DAY"))
+    rows.write.mode("append").options(header=True, encoding="ISO-8859-1", escape='"', emptyValue="").csv(landing)
+    take(RUN_TS)
+    return present(t.spark, out, "OTHER").select(*_SCHEMA.fieldNames())
+
+
 @register("run_summary", """SELECT 'PIPELINE_RUN' AS "CHECK_TYPE", 'COMPLETE' AS "STATUS", '{"completed_at":"2026-07-01 12:00:00","uoe_rows":' || (SELECT count(*) FROM lineitem)
   || ',"lpt_rows":' || (SELECT count(*) FROM orders) || '}' AS "DETAILS" """)
 def run_summary(t: Star) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from coverloom.functions.exprs import col, is_open, percent, text
-from coverloom.operators.aggregates import column_profile, count_where, difference
+from coverloom.operators.aggregates import column_profile, count_where, difference_by_digest
 from coverloom.operators.joins import with_stats
 from coverloom.sources.tables import alert_row, monitor_row
 
@@ -54,6 +54,7 @@ def run_summary(exposures: DataFrame, transactions: DataFrame, run_ts: str) -> D
 class Reconciliation:
     missing_columns: list[str]
     extra_columns: list[str]
+    columns: DataFrame
     totals: DataFrame
     distribution: DataFrame
     profile: DataFrame
@@ -73,6 +74,12 @@ def compared(df: DataFrame, excluded: tuple[str, ...] = UNCOMPARED) -> DataFrame
     return df.drop(*excluded)
 
 
+def column_sets(ours: DataFrame, theirs: DataFrame) -> DataFrame:
+    """(column_name, found_in): every column of either side, and whether both have it."""
+    names = {c: "ours" for c in ours.columns} | {c: "both" if c in ours.columns else "theirs" for c in theirs.columns}
+    return ours.sparkSession.createDataFrame(sorted(names.items()), "column_name string, found_in string")
+
+
 def reconcile(ours: DataFrame, theirs: DataFrame, keys: list[str], amounts: list[str], status: str,
               excluded: tuple[str, ...] = UNCOMPARED) -> Reconciliation:
     """Column sets, counts, sums, status distribution, column profile, and the differing rows."""
@@ -82,7 +89,8 @@ def reconcile(ours: DataFrame, theirs: DataFrame, keys: list[str], amounts: list
     return Reconciliation(
         missing_columns=sorted(set(theirs.columns) - set(ours.columns)),
         extra_columns=sorted(set(ours.columns) - set(theirs.columns)),
+        columns=column_sets(ours, theirs),
         totals=side(lambda df: totals(df, keys, amounts)),
         distribution=side(lambda df: df.groupBy(status).agg(F.count(F.lit(1)).alias("n"))),
         profile=side(column_profile),
-        differences=difference(a, b))
+        differences=difference_by_digest(a, b))

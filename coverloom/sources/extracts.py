@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 import csv
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial
 
-from pyspark import StorageLevel
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from coverloom.functions.exprs import at, col
 from coverloom.functions.schemas import EXTRACTS
+from coverloom.session import materialise, scratch_scope
+from coverloom.sources import tables
 
 # Texts that mean "missing", and the overflow marks of the receipts extract.
 MISSING = ("", ".")
@@ -47,51 +51,64 @@ def csv_options(multi_line: bool = True) -> dict[str, str]:
             "emptyValue": ""}
 
 
-def _filesystem(spark: SparkSession, path: str):
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+def headers(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(file, names): the column names in each file's first line, upper case. A file without a line has no row.
 
+    One job over the lines of the files' first blocks: a task sees a file's lines in order and keeps the first one. Nothing is
+    opened or listed by the driver beyond Spark's own listing, however many files there are. Names that start with ``_`` or ``.`` are skipped.
+    """
+
+    def first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = None  # a task's files follow one another
+        for batch in batches:
+            found, names = [], []
+            for file in pc.unique(batch.column("file")):
+                if file != seen:
+                    line = batch.column("line")[pc.index(batch.column("file"), file).as_py()].as_py()
+                    found.append(file.as_py())
+                    names.append([n.strip().upper() for n in next(csv.reader([line.removeprefix("\u00ef\u00bb\u00bf")]), [])])
+                seen = file
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array(names, pa.list_(pa.string()))], names=["file", "names"])
 
-def files(spark: SparkSession, path: str) -> list[str]:
-    """The data files at or directly below ``path``; names that start with ``_`` or ``.`` are skipped."""
-    fs, place = _filesystem(spark, path)
-    found = [s.getPath() for s in fs.listStatus(place) if s.isFile()]
-    return sorted(f.toString() for f in found if f.getName()[0] not in "_.")
+    lines = spark.read.options(encoding="ISO-8859-1").text(paths)
+    start = lines.select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"), F.col("_metadata.file_block_start").alias("block"))
+    return start.filter("block = 0").select("file", F.left("line", F.lit(1 << 16)).alias("line")).mapInArrow(first_lines, "file string, names array<string>")
 
 
-def header(spark: SparkSession, file: str) -> tuple[str, ...]:
-    """Column names of one file, upper case; empty if the file is. Only its first line is read."""
-    fs, place = _filesystem(spark, file)
-    stream = fs.open(place)
-    try:
-        line = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream, "ISO-8859-1")).readLine()
-    finally:
-        stream.close()
-    names = next(csv.reader([(line or "").removeprefix("\u00ef\u00bb\u00bf")]), [])
-    return tuple(n.strip().upper() for n in names)
+def layouts(spark: SparkSession, paths: str | list[str], schema: T.StructType) -> DataFrame:
+    """(file, width, at, absent): where each file has the contract's columns, from 1, and which it lacks."""
+    wanted = [f.name for f in schema]
+    upper = F.array(*[F.lit(n.upper()) for n in wanted])
+    found = headers(spark, paths).withColumn("at", F.transform(upper, lambda n: F.array_position("names", n).cast("int")))
+    lacking = F.filter(F.arrays_zip(F.array(*map(F.lit, wanted)).alias("name"), F.col("at").alias("at")), lambda z: z["at"] == 0)
+    return found.select("file", F.size("names").alias("width"), "at", F.transform(lacking, lambda z: z["name"]).alias("absent"))
 
 
 def read_raw(spark: SparkSession, paths: str | list[str], schema: T.StructType, multi_line: bool = True) -> DataFrame:
     """The contract's columns as text, by name, and ``_absent``: contract columns that the row's file lacks.
 
-    Files may hold more columns, in any order. Files with equal headers are read together; short rows are filled with NULL. A file
-    that lacks a column gives one row, its path in ``_file``. A file without a header line is empty.
+    Files may hold more columns, in any order; short rows are filled with NULL. A file that lacks a column gives one row, its path
+    in ``_file``. A file without a header line is empty. All files are parsed in one scan, whatever their layouts: cells are read by place, and a
+    stored table with one row per file says which place a column has; if all files agree, nothing is looked up.
     """
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    for file in (files(spark, paths) if isinstance(paths, str) else paths):
-        by_header.setdefault(header(spark, file), []).append(file)
-    layout = T.StructType([*text_schema(schema).fields, T.StructField("_absent", T.ArrayType(T.StringType())), T.StructField("_file", T.StringType())])
-    parts = []
-    for names, group in sorted(by_header.items()):
-        absent = [f.name for f in schema if f.name.upper() not in names]
-        if absent and any(names):
-            parts.append(spark.createDataFrame([(*[None] * len(schema), absent, file) for file in group], layout))
-        elif not absent:
-            places = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
-            rows = spark.read.schema(places).options(**csv_options(multi_line)).csv(group)
-            parts.append(rows.select(*[F.col(f"c{names.index(f.name.upper())}").alias(f.name) for f in schema],
-                                     F.lit(None).cast("array<string>").alias("_absent"), F.lit(None).cast("string").alias("_file")))
-    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], layout)
+    found = materialise(layouts(spark, paths, schema), "layouts")
+    usable = found.filter((F.size("absent") == 0))
+    seen = usable.agg(F.max("width").alias("width"), F.min("at").alias("low"), F.max("at").alias("high"), F.count(F.lit(1)).alias("files")).first()
+    lost = found.filter((F.size("absent") > 0) & (F.col("width") > 0))
+    nothing = [F.lit(None).cast("string").alias(f.name) for f in schema]
+    lost = lost.select(*nothing, F.col("absent").alias("_absent"), F.col("file").alias("_file"))
+    if not seen.files:
+        return lost
+    places = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(1, seen.width + 1)])
+    rows = spark.read.schema(places).options(**csv_options(multi_line)).csv(paths)
+    if seen.low == seen.high and lost.isEmpty():
+        cells = [F.col(f"c{i}") for i in seen.low]
+    else:
+        rows = rows.select(F.array(*places.fieldNames()).alias("cells"), F.col("_metadata.file_path").alias("file"))
+        rows = rows.join(usable.select("file", "at"), "file")  # broadcast by its measured size
+        cells = [F.get("cells", F.get("at", F.lit(k)) - 1) for k in range(len(schema))]
+    rows = rows.select(*[c.alias(f.name) for c, f in zip(cells, schema)], F.lit(None).cast("array<string>").alias("_absent"), F.lit(None).cast("string").alias("_file"))
+    return rows.unionByName(lost)
 
 
 def clean(raw: DataFrame, schema: T.StructType, missing: tuple[str, ...] = MISSING) -> DataFrame:
@@ -146,20 +163,22 @@ def load(spark: SparkSession, table: str, path: str | list[str], run_ts: str, sc
 
 def store(spark: SparkSession, table: str, path: str | list[str], good: str, rejected: str, run_ts: str, schema: T.StructType | None = None,
           multi_line: bool = True) -> None:
-    """Load one extract into two folders, which are replaced. The files are parsed once: the judged rows are kept for both writes."""
+    """Load one extract into two folders. The files are parsed once, into a table of the shared folder; each folder is swapped in when it is complete."""
     schema = schema or EXTRACTS[table]
-    judged = _judged(spark, table, path, schema, multi_line).persist(StorageLevel.DISK_ONLY)
-    try:
+    with scratch_scope(spark):
+        judged = materialise(_judged(spark, table, path, schema, multi_line), f"judged-{table}")
         parts = _stamped(parted(judged, schema), table, run_ts)
-        parts.good.write.mode("overwrite").parquet(good)
-        parts.rejected.write.mode("overwrite").parquet(rejected)
-    finally:
-        judged.unpersist()
+        tables.replace(parts.rejected, rejected)
+        tables.replace(parts.good, good)
+
+
+def load_all(spark: SparkSession, root: str, out: str, run_ts: str, multi_line: bool = True, at_once: int | None = None) -> None:
+    """All extracts below ``root/<TABLE>/`` to Parquet, all at a time unless told otherwise; each is replaced, rejects go to one folder."""
+    at_same_time([partial(store, spark, t, f"{root}/{t}/", f"{out}/{t}", f"{out}/_rejected/{t}", run_ts, None, multi_line) for t in sorted(EXTRACTS)], at_once)
 
 
-def load_all(spark: SparkSession, root: str, out: str, run_ts: str, multi_line: bool = True, at_once: int = 4) -> None:
-    """All extracts below ``root/<TABLE>/`` to Parquet, several at a time; each is replaced, rejects go to one folder."""
-    with ThreadPoolExecutor(at_once) as pool:
-        jobs = [pool.submit(store, spark, t, f"{root}/{t}/", f"{out}/{t}", f"{out}/_rejected/{t}", run_ts, None, multi_line) for t in sorted(EXTRACTS)]
-        for job in jobs:
+def at_same_time(jobs: list[Callable[[], None]], at_once: int | None = None) -> None:
+    """Run Spark jobs from threads of the driver; the first failure is raised once all have ended."""
+    with ThreadPoolExecutor(at_once or len(jobs)) as pool:
+        for job in [pool.submit(j) for j in jobs]:
             job.result()

@@ -12,6 +12,7 @@ from coverloom.functions.exprs import text, triple
 from coverloom.operators.aggregates import difference
 from coverloom.plans import exposure as E
 from coverloom.plans import scd2
+from coverloom.session import materialise
 from coverloom.sources import tables
 
 OPEN = datetime(5999, 1, 1)
@@ -166,20 +167,51 @@ def test_incremental_is_idempotent(star):
 def test_stored_step_changes_nothing_the_second_time(star, tmp_path):
     path = str(tmp_path / "exposures")
     history = XQ._order_table(star, False).withColumn("VALID_TO_DTTM", F.lit("2020-01-01").cast("timestamp_ntz"))
-    tables.replace(XQ._order_table(star, False).unionByName(history).withColumn("DIGEST_VALUE", F.lit("other separator")), path)
+    scd2.create(XQ._order_table(star, False).unionByName(history).withColumn("DIGEST_VALUE", F.lit("other separator")), path, "2026-06-01 00:00:00")
+    files = lambda: {f: f.stat().st_mtime_ns for f in (tmp_path / "exposures").rglob("*.parquet") if "CLOSED_IN=open" not in str(f)}
+    oldest = files()
     new = XQ._order_table(star, True)
     scd2.step(path, new, RUN_TS)
-    read = lambda: tables.read(star.spark, path, S.EXPOSURE)
+    assert oldest.items() < files().items()  # closed history stays, rows closed now are added
+    read = lambda: scd2.read(star.spark, path).drop(scd2.CLOSED_IN)
     tables.replace(read(), str(tmp_path / "once"))
     once = tables.read(star.spark, str(tmp_path / "once"))
     assert once.filter("VALID_TO_DTTM = TIMESTAMP_NTZ '2020-01-01'").count() == history.count()
+    closed = files()
     scd2.step(path, new, "2026-08-01 00:00:00")
     assert difference(once, read()).count() == 0
+    assert files() == closed and {p.name for p in (tmp_path / "exposures").iterdir() if p.is_dir()} == {"CLOSED_IN=20260601000000", "CLOSED_IN=20260701120000", "CLOSED_IN=open"}
     with pytest.raises(ValueError, match="incoming rows repeat"):
         scd2.step(path, new.unionByName(new), RUN_TS)
     assert difference(once, read()).count() == 0
 
 
+def test_a_step_that_stopped_is_repeated(star, tmp_path, monkeypatch):
+    """Stopped after the closed rows were stored, a repeated step leaves the same table as one that ran through."""
+    new, whole, broken = XQ._order_table(star, True), str(tmp_path / "whole"), str(tmp_path / "broken")
+    for path in (whole, broken):
+        scd2.create(XQ._order_table(star, False), path, "2026-06-01 00:00:00")
+    scd2.step(whole, new, RUN_TS)
+    replace = tables.replace
+
+    def stop(df, path, *partitions):
+        if path.endswith("=open"):
+            raise OSError("stopped")
+        replace(df, path, *partitions)
+
+    with monkeypatch.context() as m, pytest.raises(OSError):
+        m.setattr(tables, "replace", stop)
+        scd2.step(broken, new, RUN_TS)
+    scd2.step(broken, new, RUN_TS)
+    assert difference(scd2.read(star.spark, whole), scd2.read(star.spark, broken)).count() == 0
+
+
+def test_a_step_exchanges_each_side_once(star):
+    olds, news = XQ._order_table(star, False), XQ._order_table(star, True)
+    plan = scd2.stepped(materialise(olds, "olds"), materialise(news, "news"), RUN_TS)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
 def test_removed_rows_are_the_rest(star):
     table = XQ.loaded(star, dedup=False)
     kept, removed = scd2.pk_dedup(table), scd2.pk_removed(table)
