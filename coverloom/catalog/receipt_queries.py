@@ -96,6 +96,20 @@ def status_dates(t: Star):
     return states(t)
 
 
+@register("status_dates_sql", Q.STATES_SQL + f" SELECT {_STATES} FROM states")
+def status_dates_sql(t: Star):
+    """The whole first stage as the source system's SQL reads it: three-valued logic, NOT IN over movements."""
+    return R.stage_states(t.stored("recibo"), t.mopec1(), t.stored("evento"), t.moviml(), t.customer_policies(), missing="sql", null_aware=True)
+
+
+@register("status_dates_loaded", Q.TO_STATES + f" SELECT {_STATES} FROM states WHERE POLICY_TRANS_ID NOT IN (SELECT id FROM receipt WHERE st IN (5, 9))")
+def status_dates_loaded(t: Star):
+    """The whole first stage of a later run: the history's keys hold all closed receipts."""
+    loaded = KeyTable(f"{scratch_dir(t.spark)}/coverloom-keys/{uuid.uuid4().hex}", "POLICY_TRANS_ID string", "POLICY_TRANS_ID", 16)
+    loaded.add(R.receipts(t.stored("recibo")).filter(col("X_TRANS_STATUS_CD").isin(5, 9)))
+    return R.stage_states(t.stored("recibo"), t.mopec1(), t.stored("evento"), t.moviml(), t.customer_policies(), loaded.read(t.spark))
+
+
 @register("employee_flags", Q.TO_STAFFED + f" SELECT {_STAFFED} FROM staffed")
 def employee_flags(t: Star):
     return staffed(t)
@@ -134,6 +148,12 @@ def amount_correction(t: Star):
     return final(t)
 
 
+@register("amount_correction_shipped", Q.TO_FINAL_SHIPPED + f" SELECT {_FINAL} FROM final_states")
+def amount_correction_shipped(t: Star):
+    """The whole last stage with the source system's longer keys, its default."""
+    return final(t, with_mod=True)
+
+
 @register("splitter_current", Q.TO_SPLIT + f" SELECT {', '.join(_LOADED + _KEYS)} FROM resolved WHERE X_IS_CLOSED_FLG = 'N'")
 def splitter_current(t: Star):
     return splitter.current(resolved(t)).select(*_LOADED, *_KEYS)

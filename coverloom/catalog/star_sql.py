@@ -184,6 +184,24 @@ resolved AS (
   LEFT JOIN supplier sup ON 'S' || {pad('sup.s_suppkey', 7)} = s.X_EMPLOYEE_EXT_ID
   LEFT JOIN nation n ON 'A' || CAST(n.n_nationkey AS VARCHAR) = s.AGENCY_INT_ID)"""
 
+
+
+def changed(sql: str, *pairs: tuple[str, str]) -> str:
+    """The SQL with other rules in place of given ones, each of which must occur."""
+    for old, new in pairs:
+        if old not in sql:
+            raise ValueError(f"not in the SQL: {old}")
+        sql = sql.replace(old, new)
+    return sql
+
+
+#: The first stage under three-valued logic: unknown conditions drop rows and leave rules untaken.
+STATES_SQL = with_(
+    changed(RECEIPT, ("NOT coalesce(mark = 'F' AND sub IN (5, 9), FALSE)", "NOT (mark = 'F' AND sub IN (5, 9))")),
+    changed(OBSERVED, ("coalesce(prev, -1) < 1", "prev < 1"), ("coalesce(prev, -1) < 2", "prev < 2")),
+    changed(STATES, ("before NOT IN ('2', '3') AND NOT has3 THEN NULL", "before NOT IN ('2', '3') AND NOT has3 AND NOT (prod = '0850' AND before = '1') THEN NULL")))
+#: The last stage with the source system's longer receipt keys.
+TO_FINAL_SHIPPED = with_(RECEIPT, OBSERVED, STATES, STAFFED, changed(FINAL, ("l.orig = r.POLICY_TRANS_ID", "'21' || l.orig = r.POLICY_TRANS_ID")))
 TO_STATES = with_(RECEIPT, OBSERVED, STATES)
 TO_STAFFED = with_(RECEIPT, OBSERVED, STATES, STAFFED)
 TO_FINAL = with_(RECEIPT, OBSERVED, STATES, STAFFED, FINAL)

@@ -59,6 +59,15 @@ def test_hot_groups(lines):
     assert hot_limit(lines, ["g"], 10**6) == NEVER and hot_limit(lines, ["g"], 500) == 500
 
 
+def test_suspects_of_the_sketch_are_counted_exactly(spark):
+    """More keys than the sketch holds, a few frequent ones, some just at the limit; too many rows for the sketch are counted at once."""
+    df = spark.range(300_000).select(F.when(F.col("id") < 60, "null").when(F.col("id") < 100, "at the limit").when(F.col("id") < 141, "above").when(
+        F.col("id") < 30_000, "third").otherwise(F.col("id").cast("string")).alias("k")).select(F.nullif("k", F.lit("null")).alias("k"))
+    assert {(r.k, r._size) for r in hot_groups(df, ["k"], 40).collect()} == {(None, 60), ("above", 41), ("third", 29_859)}
+    assert {r.k for r in hot_groups(df, ["k"], 20).collect()} == {None, "at the limit", "above", "third"}  # 7 n / 65536 > 20: by key
+    assert hot_groups(df, ["k"], 30_000) is None and hot_groups(df.limit(0), ["k"], 5) is None
+
+
 def test_dense_rank_equals_builtin(lines):
     keys = ["g", "l_linenumber", "l_returnflag"]
     rows = lines.select(*keys)
