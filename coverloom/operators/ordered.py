@@ -75,7 +75,7 @@ def hot_groups(df: DataFrame, keys: list[str], hot_rows: int) -> DataFrame | Non
     two of its errors, 3.5 / ``_TRACKED`` of all rows each, and its estimates are never too low. Only rows of suspects are then counted, exactly,
     by key. More rows than the sketch is good for are counted by key at once, combined before the shuffle.
     """
-    mark, rows = F.xxhash64(*[col(k) for k in keys]), df
+    mark, rows = F.xxhash64(F.lit(0), *[col(k) for k in keys]), df
     sketch = F.call_function("approx_top_k", mark, F.lit(_SUSPECTS), F.lit(_TRACKED))
     seen = df.agg(F.count(F.lit(1)).alias("n"), sketch.alias("top")).first()
     if seen["n"] * 2 * 3.5 / _TRACKED < hot_rows:
