@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from coverloom.llm.common import group_bounds, in_cells, join_labels, whole_groups
+from coverloom.llm.common import boxed, group_bounds, in_cells, join_labels, whole_groups
 from coverloom.llm.components import components
 from coverloom.session import materialise
 
@@ -153,8 +153,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
 
 def first_rows(docs: DataFrame, kept: DataFrame, id_col: str) -> DataFrame:
     """For each id of ``kept`` its first row by all columns; rows without id are kept."""
-    known, kept = docs.filter(F.col(id_col).isNotNull()), materialise(kept, "kept")
-    sortable = [f.name for f in docs.schema if f.name != id_col and "map<" not in f.dataType.simpleString()]
-    first = F.row_number().over(Window.partitionBy(id_col).orderBy(*sortable or [id_col]))
-    rows = known.join(kept, id_col, "left_semi").withColumn("_kept_rank", first).filter("_kept_rank = 1")
-    return rows.select(*docs.columns).unionByName(docs.filter(F.col(id_col).isNull()))
+    kept = materialise(kept.select(F.col(id_col).alias("id")), "kept")
+    known = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), boxed(docs))
+    sortable = [F.col("row").getField(f.name) for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    first = F.row_number().over(Window.partitionBy("id").orderBy(*sortable))
+    rows = known.join(kept, "id", "left_semi").withColumn("place", first).filter("place = 1")
+    return rows.select("row.*").unionByName(docs.filter(F.col(id_col).isNull()))
