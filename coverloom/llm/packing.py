@@ -28,23 +28,24 @@ _SPLIT = re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[{_LATIN}]+| ?[0-9]+| ?[^\s0-9{_LA
 
 
 class Encoder:
-    """Ids of a byte-level BPE file as little-endian 32-bit integers. The ids of frequent words are remembered, 2^20 at most.
+    """Ids of a byte-level BPE file as little-endian 32-bit integers, as the tokenizer's plain call gives them. The ids of frequent words are remembered, 2^20 at most.
 
-    Strings of special tokens inside a text are ordinary text.
+    Texts that hold the string of a special token go to the tokenizer whole.
     """
 
     def __init__(self, path: str, most: int = 1 << 20):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most, self.known = Tokenizer.from_file(path), most, {}
-        self.tokenizer.encode_special_tokens = True
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(map(re.escape, added)) or r"(?!)")
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         out: list = [None] * len(texts)
-        split = {i: _SPLIT.findall(t) for i, t in enumerate(texts) if _PLAIN.fullmatch(t)}
+        split = {i: _SPLIT.findall(t) for i, t in enumerate(texts) if _PLAIN.fullmatch(t) and not self.special.search(t)}
         if len(self.known) > self.most:
             self.known.clear()
         new = list(set().union(*split.values()).difference(self.known)) if split else []
