@@ -24,13 +24,18 @@ def distances(q: np.ndarray, v: np.ndarray) -> np.ndarray:
     return np.maximum((q * q).sum(1)[:, None] + (v * v).sum(2) - 2 * np.einsum("nd,nkd->nk", q, v), 0)
 
 
-def beam_search(v: np.ndarray, edges: np.ndarray, entry: np.ndarray, q: np.ndarray, width: int, step: int = 4) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and squared distances (queries, width), nearest first, -1 where fewer were reached. ``edges`` has -1 for none."""
+def products(q: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Negated inner products between (n, d) and (n, k, d): the order of the distances, as all lifted vectors are equally long."""
+    return -np.einsum("nd,nkd->nk", q, v)
+
+
+def beam_search(v: np.ndarray, edges: np.ndarray, entry: np.ndarray, q: np.ndarray, width: int, step: int = 4, away=distances) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and distances by ``away`` (queries, width), nearest first, -1 where fewer were reached. ``edges`` has -1 for none."""
     n = len(q)
     ids = np.full((n, max(width, len(entry))), -1, np.int32)
     ids[:, :len(entry)] = entry
     dist = np.full(ids.shape, _FAR)
-    dist[:, :len(entry)] = distances(q, np.broadcast_to(v[entry], (n, len(entry), v.shape[1])))
+    dist[:, :len(entry)] = away(q, np.broadcast_to(v[entry], (n, len(entry), v.shape[1])))
     order = np.argsort(dist, axis=1, kind="stable")[:, :width]
     ids, dist = np.take_along_axis(ids, order, 1), np.take_along_axis(dist, order, 1)
     done = ids < 0
@@ -41,7 +46,7 @@ def beam_search(v: np.ndarray, edges: np.ndarray, entry: np.ndarray, q: np.ndarr
         fresh = ~np.take_along_axis(done[active], best, 1)
         np.put_along_axis(done_now := done[active], best, True, 1)
         near = np.where(fresh[:, :, None], edges[chosen], -1).reshape(len(active), -1)
-        d = np.where(near >= 0, distances(q[active], v[near]), _FAR)
+        d = np.where(near >= 0, away(q[active], v[near]), _FAR)
         all_ids = np.concatenate([ids[active], near], axis=1)
         all_dist = np.concatenate([dist[active], d], axis=1)
         all_done = np.concatenate([done_now, near < 0], axis=1)
@@ -113,8 +118,11 @@ def build(v: np.ndarray, degree: int = 32, width: int = 64, alpha: float = 1.2,
 
 
 def lifted(v: np.ndarray, longest: float) -> np.ndarray:
+    """With the coordinate that makes all lengths equal, less ``longest``: short vectors then have small ones, told apart whatever the longest is."""
     v = v.astype(np.float64)
-    return np.concatenate([v, np.sqrt(np.maximum(longest**2 - (v * v).sum(axis=1), 0))[:, None]], axis=1).astype(np.float32)
+    square = (v * v).sum(axis=1)
+    shift = -square / (longest + np.sqrt(np.maximum(longest**2 - square, 0)))
+    return np.concatenate([v, shift[:, None]], axis=1).astype(np.float32)
 
 
 def classes(rows: DataFrame, keep: int, salts: int = 16) -> DataFrame:
@@ -170,8 +178,9 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20, query_block: int =
             return pd.DataFrame({"query_id": [], "query_hash": [], "vec_id": [], "score": []})
         g = g.sort_values("node")
         v, asked, ids = np.stack(g["vector"].to_numpy()), np.stack(q["vector"].to_numpy()), g["ids"].to_numpy()
-        found, _ = beam_search(lifted(v, longest), np.stack(g["edges"].to_numpy()), np.array([g["entry"].iloc[0]], np.int32),
-                               np.concatenate([asked, np.zeros((len(q), 1))], axis=1).astype(np.float32), max(width, k + 1))
+        # far longer vectors than the rest have the largest products with half of all queries, but are near no other: searches start there too
+        starts = np.unique(np.append(np.argsort(-(v * v).sum(axis=1), kind="stable")[:32], g["entry"].iloc[0])).astype(np.int32)
+        found, _ = beam_search(v.astype(np.float32), np.stack(g["edges"].to_numpy()), starts, asked.astype(np.float32), max(width, k + 1), away=products)
         out = []
         for query, mark, own, nodes in zip(q["vec_id"], pd.util.hash_array(np.array([a.tobytes() for a in asked], object)).view(np.int64), asked, found):
             nodes = nodes[nodes >= 0]
