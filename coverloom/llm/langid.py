@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 FEATURES = 1 << 15
@@ -145,31 +145,42 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
     return df, rows
 
 
-def fit(docs: DataFrame, learn: Column, text_col: str = "text", lang_col: str = "lang", per_language: int = 800, seed: int = 7, **options) -> Model:
+def fit(docs: DataFrame, learn: Column, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", per_language: int = 800,
+        most_languages: int = 200, seed: int = 7, **options) -> Model:
     """Train on the rows for which ``learn`` holds and language and text are not null and have a letter.
 
-    Document frequencies come from all these rows. The classifier is fitted on a sample of about ``per_language`` rows of each language
-    (all, if fewer), drawn by a hash of the text, so its size does not grow with the input.
+    Document frequencies come from all these rows. The classifier is fitted on the ``per_language`` rows of each language (all, if fewer) with
+    the smallest hashes of id and text (copies of both are one), and on the ``most_languages`` most frequent languages; so neither the sample nor the weights grow with the input.
+    A language of which no row has a letter is not learnt.
     """
     lang = F.col(lang_col).cast("string")
-    rows = docs.filter(learn & lang.isNotNull() & F.col(text_col).rlike(r"\p{IsAlphabetic}")).select(F.col(text_col).alias("text"), lang.alias("lang"))
-    sizes = {r["lang"]: r["n"] for r in docs.filter(learn & lang.isNotNull()).groupBy(lang.alias("lang")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    languages = sorted(sizes)
-    df, n = document_frequencies(rows)
+    draw = F.pmod(F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)), F.lit(1 << 62))
+    rows = docs.filter(learn & lang.isNotNull() & F.col(text_col).rlike(r"\p{IsAlphabetic}")).select(
+        F.col(text_col).alias("text"), lang.alias("lang"), draw.alias("draw"))
+    frequent = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("draw").alias("draws")).orderBy(F.desc("n"), "lang").limit(most_languages)
+    draws = {r["lang"]: r["draws"] for r in frequent.collect()}
+    languages = sorted(draws)
+    df, n = document_frequencies(rows.select("text"))
     idf = np.log((1 + n) / (1 + df)) + 1
     if not languages:
         return Model([], idf, np.zeros((0, FEATURES)), np.zeros(0))
-    share = F.lit(0.0)
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
+    small = F.lit(False)  # some times as many draws as are needed, so that no language's meet in one task
     for k in languages:
-        share = F.when(F.col("lang") == k, min(1.0, per_language / sizes[k])).otherwise(share)
-    draw = F.pmod(F.xxhash64(F.lit(seed), "text"), F.lit(1 << 30)) / float(1 << 30)
-    sample = [(r["text"], r["lang"]) for r in rows.filter(draw < share).collect()]  # about per_language rows a language
+        small = F.when(F.col("lang") == k, F.col("draw") < int(min(1.0, 4 * per_language / max(1, draws[k])) * (1 << 62))).otherwise(small)
+    drawn = rows.filter(small).select("lang", "draw").distinct().withColumn("place", place).filter(F.col("place") <= per_language)
+    last = {r["lang"]: r["last"] for r in drawn.groupBy("lang").agg(F.max("draw").alias("last")).collect()}
+    enough = F.lit(False)
+    for k in languages:
+        enough = F.when(F.col("lang") == k, F.col("draw") <= last.get(k, -1)).otherwise(enough)
+    # at most per_language rows a language: copies of one id and text have one draw
+    sample = [(r["text"], r["lang"]) for r in rows.filter(enough).dropDuplicates(["lang", "draw"]).collect()]
     return train(sorted(sample), idf, languages, **options)
 
 
 def guess(spark: SparkSession, model: Model, text: Column) -> Column:
     """(lang_pred, score) of a text. No learned language: ``und``."""
-    sent = spark.sparkContext.broadcast(model)  # fixed size: languages times FEATURES
+    sent = spark.sparkContext.broadcast(model)  # fixed size: at most most_languages times FEATURES
 
     def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = sent.value
@@ -199,7 +210,7 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     without labels gives ``und`` everywhere. Repeated rows and very long texts are treated like any others.
     """
     fold = F.crc32(F.col(id_col).cast("string").cast("binary")) % 3
-    model = fit(docs, F.col(id_col).isNotNull() & (fold != 1), text_col, lang_col, **options)
+    model = fit(docs, F.col(id_col).isNotNull() & (fold != 1), text_col, lang_col, id_col, **options)
     found = docs.select(F.col(id_col).alias("doc_id"), guess(docs.sparkSession, model, F.col(text_col)).alias("guess"))
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
     return found.select("doc_id", F.coalesce(fold == 1, F.lit(False)).alias("held_out"), "guess.lang_pred", "guess.score")
@@ -211,7 +222,7 @@ def keep_known(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     If there is no row to learn from, all documents with a letter stay.
     """
     fold = F.crc32(F.col(id_col).cast("string").cast("binary")) % 3
-    model = fit(docs, F.col(id_col).isNotNull() & (fold != 1), text_col, lang_col, **options)
+    model = fit(docs, F.col(id_col).isNotNull() & (fold != 1), text_col, lang_col, id_col, **options)
     if not model.languages:
         return docs.filter(lettered(F.col(text_col)))
     return docs.filter(guess(docs.sparkSession, model, F.col(text_col))["lang_pred"] != UNKNOWN)
