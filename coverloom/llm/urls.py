@@ -1,7 +1,7 @@
 """URL filters by host-suffix and path-prefix expressions, with DataFrame functions only.
 
-Each URL is expanded into the expressions that a rule could equal; the first four bytes of their SHA-256 digests are joined with those
-of the rules, the full digest confirms a match, and the longest confirmed rule decides.
+Each URL is expanded into the expressions that a rule could equal; they are joined with the rules by the first four bytes of their SHA-256 digests
+alone, then the full digest confirms which of the rules met there is the one, and the longest confirmed rule decides.
 """
 
 from __future__ import annotations
@@ -28,22 +28,26 @@ def path(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(_after_scheme(url), r"^[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+def digest(host: Column, path: Column) -> Column:
+    return F.unhex(F.sha2(F.concat(host, F.lit("\n"), path), 256))
+
+
 def rule_table(rules: DataFrame) -> DataFrame:
-    """(rule, action, size, prefix, digest) from (host, path, action); one row per rule, of contradicting ones the block."""
+    """(rule, action, host_size, path_size, labels, digest) from (host, path, action); one row per rule, of contradicting ones the block."""
     rules = rules.select(ascii_lower(F.col("host")).alias("host"), F.coalesce("path", F.lit("")).alias("path"), F.col("action").alias("action"))
     rules = rules.filter((F.col("host") != "") & F.col("action").isin("allow", "block"))
     rules = rules.groupBy("host", "path").agg(F.max("action").alias("action"))
-    digest = F.sha2(F.concat("host", F.lit("\n"), "path"), 256)
     return rules.select(F.concat("host", "path").alias("rule"), "action", F.length("host").alias("host_size"), F.length("path").alias("path_size"),
-                        F.size(F.split("host", r"\.")).alias("labels"), F.substring(digest, 1, 8).alias("prefix"), digest.alias("digest"))
+                        F.size(F.split("host", r"\.")).alias("labels"), digest(F.col("host"), F.col("path")).alias("digest"))
 
 
-def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", id_col: str = "page_id", url_col: str = "url", prefix_bytes: int = 4) -> DataFrame:
     """(page_id, url, host, path, rule, verdict): one row per page.
 
     A rule fits its host and all subdomains if the path starts with the rule's. Of the fitting rules the longest text wins, of equally
     long ones that with the longer host. No rule: ``default``. Null or malformed URLs have an empty host and fit nothing;
-    null ids and repeated rows are returned like others; other columns are ignored.
+    null ids and repeated rows are returned like others; other columns are ignored. Rules whose digests begin alike for ``prefix_bytes`` meet
+    the same expressions and are told apart by the whole digest.
     """
     table = materialise(rule_table(rules), "rules")
     # The numbers of labels and the path lengths that rules have, which a URL's length bounds.
@@ -54,11 +58,14 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", id_col: st
     have = F.size(F.split("host", r"\."))
     hosts = F.array_compact(F.array(*[F.when((F.col("host") != "") & (have >= n), deepest(F.col("host"), ".", -n)) for n in shape["labels"]]).cast("array<string>"))
     paths = F.array_compact(F.array(*[F.when(F.length("path") >= n, F.substring("path", 1, n)) for n in shape["paths"]]).cast("array<string>"))
-    tried = F.flatten(F.transform(hosts, lambda h: F.transform(paths, lambda p: F.sha2(F.concat(h, F.lit("\n"), p), 256))))
+    tried = F.flatten(F.transform(hosts, lambda h: F.transform(paths, lambda p: digest(h, p))))
     tried = rows.select("*", F.posexplode_outer(tried).alias("_at", "_digest"))
-    known = table.select(F.col("prefix").alias("_prefix"), F.col("digest").alias("_full"), "rule", "action", "host_size")
-    found = tried.join(known, (F.substring("_digest", 1, 8) == F.col("_prefix")) & (F.col("_digest") == F.col("_full")), "left")
-    rank = F.when(F.col("rule").isNotNull(), F.struct(F.length("rule").alias("n"), "host_size", "rule", "action"))
+    # one row per prefix with the few rules that share it, so an expression stays one row
+    alike = table.groupBy(F.substring("digest", 1, prefix_bytes).alias("_prefix")).agg(F.collect_list(F.struct("digest", "rule", "action", "host_size")).alias("_rules"))
+    met = tried.join(alike, F.substring("_digest", 1, prefix_bytes) == F.col("_prefix"), "left")
+    found = met.withColumn("_rule", F.get(F.filter("_rules", lambda r: r["digest"] == F.col("_digest")), F.lit(0)))
+    rule = F.col("_rule")
+    rank = F.when(rule.isNotNull(), F.struct(F.length(rule["rule"]).alias("n"), rule["host_size"].alias("host_size"), rule["rule"].alias("rule"), rule["action"].alias("action")))
     # All expressions of a row are in one task, so one row per page leaves it; ``_rows`` counts repeated rows.
     best = found.groupBy("page_id", "url", "host", "path").agg(
         F.max(rank).alias("_best"), F.sum(F.when(F.coalesce("_at", F.lit(0)) == 0, 1).otherwise(0)).alias("_rows"))
