@@ -127,30 +127,65 @@ def _with_heads(records: DataFrame, heads: list[str], size: int) -> DataFrame:
     return chunks(packed, size).withColumn("_head", head).select("_head.*", *names[1:])
 
 
-def _records(data) -> Iterator[tuple[dict[str, str], memoryview]]:
-    """Headers and block of each record of an unpacked archive."""
-    at, view = 0, memoryview(data)
-    while at < len(data):
-        end = data.index(CRLF * 2, at)
-        lines = bytes(view[at:end]).decode().split("\r\n")
-        if not lines[0].startswith("WARC/"):
-            raise ValueError(f"no WARC record at byte {at}: {lines[0][:40]!r}")
-        head = dict(line.split(": ", 1) for line in lines[1:])
-        start = end + 4
-        at = start + int(head["Content-Length"])
-        yield head, view[start:at]
-        if bytes(view[at:at + 4]) != CRLF * 2:
-            raise ValueError(f"the record that ends at byte {at} isn't closed")
-        at += 4
+def unpacked(content: memoryview, step: int = 1 << 18) -> Iterator[bytes]:
+    """A gzip archive of any number of members in pieces of at most ``step`` bytes."""
+    import zlib
+
+    inflate = zlib.decompressobj(31)
+    for at in range(0, len(content), step):
+        rest, full = content[at:at + step], False
+        while rest or full:
+            out = inflate.decompress(rest, step)
+            rest, full = inflate.unconsumed_tail, len(out) == step
+            if out:
+                yield out
+            if inflate.eof:
+                rest, inflate, full = inflate.unused_data, zlib.decompressobj(31), False
+
+
+def _records(pieces: Iterator[bytes]) -> Iterator[tuple[dict[str, str], Iterator[bytes]]]:
+    """Headers of each record and its block in pieces, which must be taken before the next record. Held: one piece and what is left of the one before."""
+    buffer = bytearray()
+
+    def more(why: str) -> None:
+        piece = next(pieces, None)
+        if piece is None:
+            raise ValueError(f"the archive ends inside {why}")
+        buffer.extend(piece)
+
+    def block(left: int) -> Iterator[bytes]:
+        while left:
+            if not buffer:
+                more("a block")
+            piece = bytes(buffer[:left])
+            del buffer[:left]
+            left -= len(piece)
+            yield piece
+
+    for piece in pieces:
+        buffer.extend(piece)
+        while buffer:
+            while (end := buffer.find(CRLF * 2)) < 0:
+                more("a header")
+            lines = buffer[:end].decode().split("\r\n")
+            del buffer[:end + 4]
+            if not lines[0].startswith("WARC/"):
+                raise ValueError(f"no WARC record: {lines[0][:40]!r}")
+            head = dict(line.split(": ", 1) for line in lines[1:])
+            yield head, block(int(head["Content-Length"]))
+            while len(buffer) < 4:
+                more("the end of a record")
+            if buffer[:4] != CRLF * 2:
+                raise ValueError(f"the record {head.get('WARC-Record-ID')} isn't closed")
+            del buffer[:4]
 
 
 def read_segments(spark: SparkSession, path: str) -> DataFrame:
     """(record_id, segment, type, page_id, url, refers_to, declared_bytes, declared_digest, bytes, digest, data) of all records under ``path``.
 
-    A record that isn't segmented has its block's SHA-1 as ``digest`` and no ``data``; the blocks of segments are returned.
+    A record that isn't segmented has its block's SHA-1 as ``digest`` and no ``data``; the blocks of segments are returned, which
+    are chunks. Archives are unpacked in steps: besides the packed file, a task holds a step and one segment.
     """
-    import zlib
-
     names = ["record_id", "segment", "type", "page_id", "url", "refers_to", "declared_bytes", "declared_digest", "bytes", "digest", "data"]
     types = [pa.string(), pa.int64(), *[pa.string()] * 4, pa.int64(), pa.string(), pa.int64(), pa.string(), pa.binary()]
 
@@ -158,12 +193,17 @@ def read_segments(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for content in batch.column("content"):
                 rows = []
-                for head, block in _records(zlib.decompress(content.as_buffer(), 31)):
-                    part = head.get("WARC-Segment-Number")
+                for head, block in _records(unpacked(memoryview(content.as_buffer()))):
+                    part, sha, size, kept = head.get("WARC-Segment-Number"), hashlib.sha1(), 0, []
+                    for piece in block:
+                        sha.update(piece)
+                        size += len(piece)
+                        if part:
+                            kept.append(piece)
                     rows.append((head.get("WARC-Segment-Origin-ID", head["WARC-Record-ID"]), int(part or 0), head["WARC-Type"], head.get("X-Page-ID"),
                                  head.get("WARC-Target-URI"), head.get("X-Refers-To-Page-ID"), int(head.get("X-Payload-Bytes", 0)),
-                                 head.get("WARC-Payload-Digest", "").removeprefix("sha1:") or None, len(block),
-                                 None if part else hashlib.sha1(block).hexdigest(), bytes(block) if part else None))
+                                 head.get("WARC-Payload-Digest", "").removeprefix("sha1:") or None, size,
+                                 None if part else sha.hexdigest(), b"".join(kept) if part else None))
                     if len(rows) == 1000 or part:
                         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
                         rows = []
