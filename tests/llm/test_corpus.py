@@ -10,10 +10,12 @@ import pytest
 import xxhash
 
 import corpus_pipeline
-from coverloom.llm import ann, chat, embeddings, html, langid, mixing, packing, queries, shingles, simhash, urls, warc
+from coverloom.llm import ann, chat, embeddings, html, langid, mixing, packing, queries, simhash, urls, warc
 from coverloom.llm.common import join_labels, prepare
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, key string, fp long, score double, _i int, rank int"
+#: Names that the stages use for columns of their own, now or before.
+HELPERS = "_size _share _copy _id _n _src _times _sum _rows _kept_rank row place size copies copy more rows epochs cut at id taken target guess start mark chosen from".split()
 SF = "/root/testdata/sf0.001"
 
 
@@ -24,7 +26,12 @@ def options(spark):
 
 def documents(spark, *rows):
     """Rows of (doc_id, text, lang, source), with columns whose names the operators use themselves."""
-    return spark.createDataFrame([(*r, None, "k", 7, 0.5, 3, 1) for r in rows], DOCS)
+    return spark.createDataFrame([(*r, None, "k", 7, 0.5, 3, 1, *[777] * len(HELPERS)) for r in rows], DOCS + "".join(f", `{h}` int" for h in HELPERS))
+
+
+def untouched(got):
+    """Whether the columns beside the documents' own are as given."""
+    return all(r[h] == 777 for r in got.select(*[f"`{h}`" for h in HELPERS]).collect() for h in HELPERS)
 
 
 def words(n, seed):
@@ -53,6 +60,11 @@ def test_main_text(spark):
     assert html.extract(pages.limit(0)).count() == 0
 
 
+def test_stray_quotes_in_tags_end_with_the_tag():
+    body = "<p><a title=Today's>First words here.</a></p><p class=\"x\"\">Second words here.</p><p>It isn't third.</p><p title='a>b' id = \"c>d\">Fourth.</p><p title=\"never closed>Fifth.</p>"
+    assert [b.text for b in html.blocks(body)] == ["First words here.", "Second words here.", "It isn't third.", "Fourth.", "Fifth."]
+
+
 def test_main_text_of_unseen_pages():
     r, right, total = random.Random(77), 0, 0
     made = [html.training_page(r) for _ in range(150)]
@@ -111,6 +123,12 @@ def test_url_verdicts(spark):
     got = urls.judge(pages, rules).collect()
     assert len(got) == 2 * len(cases) and all((r.host, r.path, r.rule, r.verdict) == cases[r.url] for r in got)
     assert urls.judge(pages.limit(0), rules).count() == 0
+    for width in (1, 0):  # hundreds of rules share a prefix
+        many = rules.unionByName(spark.createDataFrame([(f"h{i}.org", f"/p{i % 7}", "block") for i in range(600)], rules.schema))
+        again = urls.judge(pages, many, prefix_bytes=width).collect()
+        assert sorted(map(str, again)) == sorted(map(str, got))
+        plan = urls.judge(pages, many)._jdf.queryExecution().optimizedPlan().toString()
+        assert "substring(_digest" in plan.split("Join LeftOuter")[1].split("\n")[0] and "= digest" not in plan.split("Join LeftOuter")[1].split("\n")[0]
     assert {r.verdict for r in urls.judge(pages, rules.limit(0), "block").collect()} == {"block"}
 
 
@@ -146,6 +164,21 @@ def test_neighbours_match_brute_force(spark):
         assert all(s == pytest.approx(float(np.dot(np.array(scores[q]), np.array(scores[i]))), rel=1e-12) for i, s in found)
 
 
+@pytest.mark.parametrize("factor", [1e2, 1e4, 1e7])
+def test_one_long_vector_hides_no_neighbours(spark, factor):
+    r = np.random.default_rng(6)
+    x = r.normal(size=(600, 16))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    x[17] *= factor
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = collections.defaultdict(set)
+    for g in ann.search(rows, rows.filter("vec_id % 20 = 0"), k=10).collect():
+        got[g.query_id].add(g.vec_id)
+    truth = {q: [int(i) for i in np.argsort(-x @ x[q], kind="stable") if i != q][:10] for q in range(0, 600, 20)}
+    found = sum(len(got[q].intersection(near)) for q, near in truth.items())
+    assert found >= 0.95 * 10 * 30
+
+
 def test_neighbours_of_few_rows(spark):
     few = vectors(spark, [(0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, [0.5, 0.5]), (3, [1.0, 2.0, 3.0])])
     got = [(x.query_id, x["rank"], x.vec_id) for x in ann.search(few, few.filter("vec_id = 0")).orderBy("rank").collect()]
@@ -190,6 +223,18 @@ def test_mixed_documents_repeat(spark):
     assert got.columns == documents(spark).columns
     n = collections.Counter(r.doc_id for r in got.collect())
     assert n[0] == 3 and n[3] == 6 and n[100] == 1 and sum(n[i] for i in range(10, 100)) in range(66, 69)
+    assert untouched(got)
+
+
+@pytest.mark.parametrize("same", [True, False])
+def test_a_cut_among_rows_of_one_key(spark, same):
+    one, other = words(10, 1), words(10, 2)
+    rows = [(i, words(10, i), None, "a") for i in range(20)] + [(None, one if same or i % 2 else other, None, "b") for i in range(41)]
+    got = mixing.mixed(documents(spark, *rows), [5, 2, 1]).collect()
+    # 610 words: "a" weighs 5, its share is 436 and within 3 times its size, the rest of 174 goes to "b": 17 of its 41 rows
+    n = collections.Counter((r.source, r.text) for r in got)
+    assert sum(k for (s, _), k in n.items() if s == "a") == 44 and sum(k for (s, _), k in n.items() if s == "b") == 17
+    assert sorted(map(str, got)) == sorted(map(str, mixing.mixed(documents(spark, *rows).repartition(5), [5, 2, 1]).collect()))
 
 
 # --- op5 -----------------------------------------------------------------------------------------------------------------
@@ -209,6 +254,20 @@ def test_warc_round_trip(spark, tmp_path):
     assert warc.round_trip(pages.limit(0)).count() == 0
 
 
+def test_archives_are_unpacked_in_steps():
+    import gzip
+
+    records = [(f"<r{i}>", random.Random(i).randbytes([0, 5, 70_000, 300_000][i % 4])) for i in range(24)]
+    plain = b"".join(f"WARC/1.1\r\nWARC-Record-ID: {n}\r\nContent-Length: {len(b)}\r\n\r\n".encode() + b + b"\r\n\r\n" for n, b in records)
+    cut = len(plain) // 3
+    for packed in (gzip.compress(plain), gzip.compress(plain[:cut]) + gzip.compress(plain[cut:]), gzip.compress(b"\0" * 0 + plain, 0)):
+        for step in (97, 1 << 12, 1 << 18):
+            seen = [(head["WARC-Record-ID"], b"".join(block)) for head, block in warc._records(warc.unpacked(memoryview(packed), step))]
+            assert seen == records and all(len(p) <= step for p in warc.unpacked(memoryview(packed), step))
+    with pytest.raises(ValueError, match="ends inside"):
+        list((h, b"".join(b)) for h, b in warc._records(warc.unpacked(memoryview(gzip.compress(plain[:-40])))))
+
+
 def test_warc_segments_rebuild_the_payload(spark, tmp_path):
     text = words(2000, 3)
     warc.write(spark.createDataFrame([(1, "u", text)], "page_id long, url string, html string"), f"{tmp_path}/w", size=1000)
@@ -279,44 +338,7 @@ def test_groups_match_brute_force(spark):
 def test_keep_one(spark):
     docs = documents(spark, (4, "a b c d", None, None), (2, "a b c d", None, None), (2, "a b c d", None, "x"), (9, "other words stand here", None, None), (None, "a b c d", None, None))
     got = simhash.keep_one(docs)
-    assert got.columns == docs.columns and sorted(r.doc_id or 0 for r in got.collect()) == [0, 2, 9]
-
-
-def plain_groups(rows):
-    """Smallest id of each row's group: five-word Jaccard of at least 0.8, or fingerprints within three bits, over all pairs."""
-    sets = [{tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} for w in ((t or "").lower().split() for _, t, *_ in rows)]
-    fps, label = [plain_fingerprint(t) for _, t, *_ in rows], np.arange(len(rows))
-    near = [(i, j) for i in range(len(rows)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) or (fps[i] ^ fps[j]).bit_count() <= 3]
-    join_labels(label, *np.array(near).T)
-    return [min(rows[m][0] for m in range(len(rows)) if label[m] == label[k]) for k in range(len(rows))]
-
-
-def planted_copies():
-    """Documents of 60 words, and near copies of each with up to six changed words."""
-    r, rows = random.Random(12), []
-    for i in range(40):
-        base = [f"w{i}x{r.randrange(1000)}" for _ in range(60)]
-        for k in range(6):
-            changed = list(base)
-            changed[5:5 + k] = [f"new{i}y{k}z{m}" for m in range(k)]
-            rows.append((10 * i + k, " ".join(changed), "xx", "s"))
-    return rows
-
-
-def test_near_copies_of_similarity_0_8_go(spark):
-    rows = planted_copies() + [(901, "a b", None, None), (902, " A  b", None, None), (903, "a c", None, None), (904, None, None, None), (905, "", None, None), (0, "another text of the first id", None, None)]
-    root = plain_groups(rows)
-    fps = {i: plain_fingerprint(t) for i, t, *_ in rows}
-    assert sum(m != i and (fps[i] ^ fps[m]).bit_count() > 3 for (i, *_), m in zip(rows, root)) > 50  # beyond op6's values
-    got = shingles.keep_one(documents(spark, *rows), cell_rows=8)
-    assert sorted(r.doc_id for r in got.collect()) == sorted({i for (i, *_), m in zip(rows, root) if m == i})
-    assert shingles.keep_one(documents(spark)).count() == 0
-
-
-def test_bands_catch_sets_of_similarity_0_8():
-    r = np.random.default_rng(3)
-    pairs = [r.integers(0, 1 << 64, 100, dtype=np.uint64) for _ in range(1000)]
-    assert all((shingles.band_keys(x[:90], 24, 5) == shingles.band_keys(x[10:], 24, 5)).any() for x in pairs)
+    assert got.columns == docs.columns and sorted(r.doc_id or 0 for r in got.collect()) == [0, 2, 9] and untouched(got)
 
 
 # --- op7 -----------------------------------------------------------------------------------------------------------------
@@ -335,7 +357,7 @@ def test_language_edges(spark):
     by = {r.doc_id: (r.lang_pred, r.score) for r in got.collect()}
     assert got.count() == len(rows) and by[90] == by[91] == by[92] == ("und", 0.0) and by[93][0] == by[None][0] == "yy" and by[94][0] == "xx"
     kept = langid.keep_known(documents(spark, *rows))
-    assert kept.columns == documents(spark).columns and kept.count() == len(rows) - 3
+    assert kept.columns == documents(spark).columns and kept.count() == len(rows) - 3 and untouched(kept)
     assert langid.identify(documents(spark)).count() == 0
     assert {r.lang_pred for r in langid.identify(documents(spark, (1, "abc", None, None))).collect()} == {"und"}
 
@@ -346,6 +368,23 @@ def test_documents_with_letters_stay_when_nothing_was_learnt(spark):
     assert {r.lang_pred for r in langid.identify(docs).collect()} == {"und"}
 
 
+def test_languages_without_letters_are_not_learnt(spark):
+    rows = [(i, words(30, i), "xx", None) for i in range(30)] + [(i, "12 34", "yy", None) for i in range(30, 90)]
+    assert {r.lang_pred for r in langid.identify(documents(spark, *rows)).collect() if r.doc_id < 30} == {"xx"}
+    none = [(i, "12 34", lang, None) for i, lang in enumerate(["yy", "zz"] * 20)] + [(50, "letters", None, None)]
+    assert {r.lang_pred for r in langid.identify(documents(spark, *none)).collect()} == {"und"}
+
+
+def test_copies_do_not_exceed_the_sample(spark, monkeypatch):
+    seen = []
+    train = langid.train
+    monkeypatch.setattr(langid, "train", lambda sample, *a, **k: seen.extend(sample) or train(sample, *a, **k))
+    rows = [(i, "the same text", "xx", None) for i in range(300)] + [(5, "one id too", "xx", None)] * 300 + [(i, words(20, i), "yy", None) for i in range(600, 900)]
+    langid.identify(documents(spark, *rows), per_language=40).count()
+    n = collections.Counter(lang for _, lang in seen)
+    assert n == {"xx": 40, "yy": 40} and sum(t == "one id too" for t, _ in seen) <= 1
+
+
 # --- op8 -----------------------------------------------------------------------------------------------------------------
 
 def test_embedding_groups_match_brute_force(spark):
@@ -413,6 +452,15 @@ def test_encoder_equals_the_tokenizer():
     assert [np.frombuffer(b, "<u4").tolist() for b in encode(texts)] == [e.ids for e in encode.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_special_tokens_as_the_plain_call_has_them():
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(queries.tokenizer_file())
+    encode = packing.Encoder(queries.tokenizer_file())
+    for text in ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>", "<|endoftext", words(40, 3), "日本 <|endoftext|>"]:
+        assert np.frombuffer(encode([text])[0], "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
 def test_fullest_is_exact():
     r = random.Random(3)
     for _ in range(200):
@@ -452,16 +500,68 @@ def test_packing(spark):
 
 # --- pipeline ------------------------------------------------------------------------------------------------------------
 
-def test_pipeline_matches_its_stages(spark):
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
-    kept = {r.doc_id for r in langid.identify(docs).collect() if r.lang_pred != "und"}
-    docs = docs.filter(docs.doc_id.isin(list(kept)))
-    groups = {r.doc_id for r in simhash.near_duplicates(docs).collect() if r.doc_id == r.component_id}
-    docs = docs.filter(docs.doc_id.isin(list(groups)))
-    times = collections.Counter({r.doc_id: int(r.taken / r["size"] + 0.5) if r["size"] else 1 for r in mixing.mix(docs, queries.WEIGHTS).collect()})
-    got = corpus_pipeline.run(spark, SF).collect()
-    assert collections.Counter(g.doc_id for g in got if g.piece == 0) == +times
-    fill = collections.Counter()
+def plain_pipeline(rows):
+    """The four stages in plain Python: (doc_id, text) with the number of copies."""
+    lettered = [r for r in rows if r[1] and any(c.isalpha() for c in r[1])]
+    known = [r for r in lettered if r[0] is not None]
+    fps, label = [plain_fingerprint(t) for _, t, *_ in known], np.arange(len(known))
+    near = [(i, j) for i in range(len(known)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= 3]
+    join_labels(label, *np.array(near).T)
+    root = [min(known[m][0] for m in np.flatnonzero(label == label[k])) for k in range(len(known))]
+    first = {}
+    for r, m in zip(known, root):
+        if m == r[0]:
+            first[m] = min(first.get(m, r), r, key=str)
+    kept = list(first.values()) + [r for r in lettered if r[0] is None]
+    size = {id(r): len(r[1].split()) for r in kept}
+    total, sizes = sum(size.values()), collections.Counter()
+    for r in kept:
+        sizes[r[3]] += size[id(r)]
+    names = sorted(s for s in sizes if s is not None) + [None] * (None in sizes)
+    weight, target, left = {s: queries.WEIGHTS[k % 3] for k, s in enumerate(names)}, {}, set(names)
+    while left:
+        share = {s: (total - sum(target.values())) * weight[s] / sum(weight[x] for x in left) for s in left}
+        over = {s for s in left if share[s] > 3 * sizes[s]}
+        target |= {s: 3 * sizes[s] for s in over} if over else share
+        left -= over or left
+    copies = collections.Counter()
+    for s in names:
+        room = int(target[s] + 0.5)
+        epochs, rest = divmod(room, sizes[s])
+        for r in sorted((r for r in kept if r[3] == s), key=lambda r: hashlib.md5(f"{'' if r[0] is None else r[0]}:{size[id(r)]}".encode()).hexdigest()):
+            n = size[id(r)]
+            copies[r[0], r[1]] += epochs + (2 * max(0, min(n, rest)) >= n)
+            rest -= n
+    return +copies
+
+
+def test_pipeline_matches_plain_python(spark, tmp_path):
+    r, rows = random.Random(12), []
+    for i in range(150):
+        source = r.choice(["big"] * 6 + ["mid", "low", None])
+        rows.append((10 * i, words(r.randrange(30, 400), i), r.choice(["xx", "yy", None]), source))
+    rows += [(10 * i + 1, rows[i][1], "xx", rows[i][3]) for i in range(0, 40, 3)]  # exact copies
+    rows += [(10 * i + 2, rows[i][1].upper() + ("" if i % 2 else " ab"), "xx", "big") for i in range(0, 40, 4)]  # near copies
+    rows += [(7000 + i, t, "yy", "low") for i, t in enumerate([None, "", "12 34", "?! -- 7", "\u0660 1"])]  # no letters
+    rows += [(8000, "only one document here", "xx", "tiny"), (None, "no id, kept", None, "mid"), (20, "the second text of an id", "xx", "big")]
+    rows += [(8001, words(3000, 5), "xx", "mid"), (8002, "a <|endoftext|> b c", None, None)]
+    documents(spark, *rows).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    want, encode, capacity = plain_pipeline(rows), packing.encoder(queries.tokenizer_file()), queries.CAPACITY
+    assert any(n == 3 for n in want.values()) and len(want) < len(rows) - 25
+    pieces, crc = collections.Counter(), zlib.crc32
+    for (i, text), n in want.items():
+        ids = np.append(np.frombuffer(encode([text])[0], "<u4"), np.uint32(0)).astype("<u4")
+        cuts = [0, *range((len(ids) - 1) % capacity + 1, len(ids) + 1, capacity)]
+        pieces.update({(i, k, a, b - a, crc(ids[a:b].tobytes())): n for k, (a, b) in enumerate(zip(cuts, cuts[1:]))})
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert collections.Counter((g.doc_id, g.piece, g.start, g.length, g.ids_crc32) for g in got) == pieces
+    places = collections.defaultdict(list)
     for g in got:
-        fill[g.sequence_id] += g.length
-    assert max(fill.values()) <= queries.CAPACITY and len(fill) <= -(-sum(fill.values()) // queries.CAPACITY) + 1
+        places[g.sequence_id].append((g.offset, g.length))
+    for parts in places.values():
+        ends = [0]
+        for offset, length in sorted(parts):
+            assert offset == ends[-1]
+            ends.append(offset + length)
+        assert ends[-1] <= capacity
+    assert len(places) <= -(-sum(g.length for g in got) // capacity) + 1
