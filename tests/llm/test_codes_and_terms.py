@@ -117,14 +117,19 @@ def test_divergence_matches_brute_force(spark):
     assert sorted(tuple(g) for g in got.drop("q").collect()) == audited(rows, 4)
     assert [f.dataType.simpleString() for f in got.drop("q").schema] == ["string"] * 4 + ["bigint", "int"]
     assert divergence.audit(documents(spark)).count() == 0
+    docs = documents(spark, *[(i, t or "", g or "", s or "") for i, t, g, s in rows])
+    plain = {tuple(c) for c in divergence.term_counts(docs).collect()}
+    assert plain == {tuple(c) for c in divergence.term_counts(docs.repartition(3), slots=3, blocks_at_once=2, blocks_together=3, block_bytes=200, block_docs=7).collect()}
 
 
 def test_documents_of_several_chunks_and_blocks_count_once(spark):
     rows = [(1, "The the, THE the-the", "en", "s"), (2, "the", "en", "s"), (3, "x" * 50 + " the", "en", "t")]
     docs = documents(spark, *rows).select("lang", "source", "text").coalesce(1)
     blocks = divergence.chunk_counts(docs, block_bytes=30).collect()
-    assert sorted((b.block, b.source, b.chunk, b.docs, b.times) for b in blocks if "x" not in b.chunk) == [
-        (0, "s", "THE", [0], 1), (0, "s", "The", [0], 1), (0, "s", "the", [1], 1), (0, "s", "the,", [0], 1), (0, "s", "the-the", [0], 1), (0, "t", "the", [2], 1)]
+    numbers = lambda b: np.frombuffer(b.documents, "<u2").tolist()
+    assert sorted((b.block, b.chunk, numbers(b)) for b in blocks if b.lang is None and "x" not in b.chunk) == [
+        (0, "THE", [0]), (0, "The", [0]), (0, "the", [1, 2]), (0, "the,", [0]), (0, "the-the", [0])]
+    assert [(b.block, b.lang, b.source, b.first) for b in blocks if b.lang is not None] == [(0, "en", "s", 0), (0, "en", "t", 2)]
     counts = {(c.source, c.term): (c.docs, c.times) for c in divergence.term_counts(docs).collect()}
     assert counts == {("s", "the"): (2, 6), ("t", "the"): (1, 1), ("t", "x" * 50): (1, 1)}
 
