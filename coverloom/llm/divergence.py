@@ -30,7 +30,7 @@ SCALE = 1_000_000_000
 _ROWS = "block long, chunk string, documents binary, lang string, source string, first int"
 
 
-def chunk_counts(docs: DataFrame, block_bytes: int = 16 << 20, block_docs: int = 60_000) -> DataFrame:
+def chunk_counts(docs: DataFrame, block_bytes: int = 48 << 20, block_docs: int = 60_000) -> DataFrame:
     """(block, chunk, documents, lang, source, first): the documents of a block that hold each chunk, once per occurrence, ascending.
 
     ``docs`` has lang, source and text without nulls. A block is a run of documents of one task with about ``block_bytes`` of text, or one longer document.
@@ -144,7 +144,7 @@ def frequent_terms(counted: DataFrame, least: int) -> DataFrame:
     return terms.select("chunk", "term").join(enough, "term")
 
 
-def term_counts(docs: DataFrame, least: int = 1, slots: int = 16, blocks_at_once: int = 32, blocks_together: int = 4096, **options) -> DataFrame:
+def term_counts(docs: DataFrame, least: int = 1, slots: int = 16, blocks_at_once: int = 16, blocks_together: int = 1024, **options) -> DataFrame:
     """(lang, source, term, docs, times): documents that hold the term and its occurrences, per group; for terms of at least ``least`` occurrences in all.
 
     A chunk may hold a term more than once, and a document may hold it in several chunks: occurrences add up, documents
@@ -153,7 +153,7 @@ def term_counts(docs: DataFrame, least: int = 1, slots: int = 16, blocks_at_once
     them, so a cell holds that many blocks' part of the terms and no more.
     """
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    salts = 1 + size // (options.get("block_bytes", 16 << 20) * blocks_together)
+    salts = 1 + size // (options.get("block_bytes", 48 << 20) * blocks_together)
     salt = F.pmod(F.xxhash64("block"), F.lit(salts))
     keys = ["chunk"] if salts == 1 else ["chunk", "salt"]
     stored = _clustered(chunk_counts(docs, **options).withColumn("salt", salt), keys)
