@@ -153,7 +153,9 @@ def term_counts(docs: DataFrame, least: int = 1, slots: int = 16, blocks_at_once
     them, so a cell holds that many blocks' part of the terms and no more.
     """
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    salts = 1 + size // (options.get("block_bytes", 48 << 20) * blocks_together)
+    block_bytes = options.get("block_bytes", 48 << 20)
+    docs = docs.coalesce(max(docs.sparkSession.sparkContext.defaultParallelism, -(-size // block_bytes)))  # tasks that read less than a block leave more rows
+    salts = 1 + size // (block_bytes * blocks_together)
     salt = F.pmod(F.xxhash64("block"), F.lit(salts))
     keys = ["chunk"] if salts == 1 else ["chunk", "salt"]
     stored = _clustered(chunk_counts(docs, **options).withColumn("salt", salt), keys)
