@@ -1,7 +1,7 @@
 """Approximate nearest neighbours by inner product: a robust-pruned directed graph per shard.
 
 Vectors get one more coordinate, so that all have the length of the longest; nearest by Euclidean distance is then largest by inner
-product. Shards of bounded size are graphs of their own: points enter in growing batches, a greedy search on the graph so far
+product. A fixed number of shards, more only where a task could not hold one, are graphs of their own: points enter in growing batches, a greedy search on the graph so far
 proposes neighbours, pruning drops a candidate that is closer (by the factor ``alpha``) to a neighbour already chosen, and reverse
 edges are pruned alike. A query runs a beam search in every shard; exact products on the original vectors rank what the beams return.
 """
@@ -18,6 +18,9 @@ from coverloom.session import materialise
 
 _FAR = np.float32(np.inf)
 
+#: Vector components that a shard and a block of queries have at most, on average: 131,072 and 65,536 vectors of 64.
+SHARD_COMPONENTS, BLOCK_COMPONENTS = 1 << 23, 1 << 22
+
 
 def distances(q: np.ndarray, v: np.ndarray) -> np.ndarray:
     """Squared distances between (n, d) and (n, k, d)."""
@@ -135,10 +138,20 @@ def classes(rows: DataFrame, keep: int, salts: int = 16) -> DataFrame:
     return rows.groupBy("vhash", "vector").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
 
 
-def index(rows: DataFrame, longest: float, keep: int, shard_rows: int = 4096, degree: int = 32, width: int = 64, alpha: float = 1.2) -> DataFrame:
-    """(shard, node, ids, vector, edges, entry): every vector, in shards of about ``shard_rows`` vectors of one length."""
+def _parts(vectors: DataFrame, rows: int | None, components: int, least: int) -> int:
+    """Parts of about ``rows`` vectors if given, else ``least`` or as many as keep each to ``components``."""
+    count, held = vectors.agg(F.count(F.lit(1)), F.sum(F.size("vector"))).first()
+    return max(1, -(-count // rows)) if rows else max(least, -(-(held or 0) // components))
+
+
+def index(rows: DataFrame, longest: float, keep: int, shards: int = 8, shard_rows: int | None = None, degree: int = 32, width: int = 64, alpha: float = 1.2) -> DataFrame:
+    """(shard, node, ids, vector, edges, entry): every vector, in shards of vectors of one length.
+
+    Every query is sought in every shard, so there are ``shards`` of them whatever the size of ``rows``, until one has ``SHARD_COMPONENTS``;
+    ``shard_rows`` sets their size instead.
+    """
     distinct = materialise(classes(rows, keep), "vector-classes")
-    shards = max(1, -(-distinct.count() // shard_rows))
+    shards = _parts(distinct, shard_rows, SHARD_COMPONENTS, shards)
     shard = F.concat_ws(":", F.size("vector"), F.pmod("vhash", F.lit(shards)))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -152,14 +165,14 @@ def index(rows: DataFrame, longest: float, keep: int, shard_rows: int = 4096, de
     return materialise(placed.groupBy("shard").applyInPandas(run, kind), "graph")
 
 
-def search(rows: DataFrame, queries: DataFrame, k: int = 20, query_block: int = 1024, width: int = 96, id_col: str = "vec_id",
+def search(rows: DataFrame, queries: DataFrame, k: int = 20, query_block: int | None = None, width: int = 96, id_col: str = "vec_id",
            vector_col: str = "embedding", **options) -> DataFrame:
     """(query_id, rank, vec_id, score): for each query row the ``k`` nearest of all rows with another id.
 
     Nearness is the inner product in double precision, ties go to the smaller id; fewer candidates are all returned. Vectors that are
     null, zero or hold null or non-finite components, and rows without id, take no part; vectors of another length aren't candidates.
-    A repeated query row counts once; an id with several vectors is as many queries. Other columns are ignored. Each shard meets the
-    queries in blocks of about ``query_block``, so no task holds all queries.
+    A repeated query row counts once; an id with several vectors is as many queries. Other columns are ignored. Queries go to the
+    shards in blocks of about ``query_block`` (by default of ``BLOCK_COMPONENTS``), so no task holds all queries, and a shard is copied once per block.
     """
     tidy = lambda d: d.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector")).filter(
         F.col("vec_id").isNotNull() & usable("vector"))
@@ -167,7 +180,7 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20, query_block: int =
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))
     longest = rows.agg(F.max(norm)).first()[0] or 1.0
     graph = index(rows, longest, k + 1, width=max(64, min(width, 96)), **options)
-    blocks = max(1, -(-queries.count() // query_block))
+    blocks = _parts(queries, query_block, BLOCK_COMPONENTS, 1)
     block = F.pmod(F.xxhash64("vec_id", "vector"), F.lit(blocks)).cast("int")
     shards = materialise(graph.select("shard", F.split("shard", ":")[0].cast("int").alias("size")).distinct(), "shards")
     asked = queries.withColumns({"block": block, "size": F.size("vector")}).join(shards, "size").select("shard", "block", "vec_id", "vector")
@@ -180,7 +193,9 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20, query_block: int =
         v, asked, ids = np.stack(g["vector"].to_numpy()), np.stack(q["vector"].to_numpy()), g["ids"].to_numpy()
         # far longer vectors than the rest have the largest products with half of all queries, but are near no other: searches start there too
         starts = np.unique(np.append(np.argsort(-(v * v).sum(axis=1), kind="stable")[:32], g["entry"].iloc[0])).astype(np.int32)
-        found, _ = beam_search(v.astype(np.float32), np.stack(g["edges"].to_numpy()), starts, asked.astype(np.float32), max(width, k + 1), away=products)
+        single, edges = v.astype(np.float32), np.stack(g["edges"].to_numpy())
+        found = np.concatenate([beam_search(single, edges, starts, asked[at:at + 1024].astype(np.float32), max(width, k + 1), away=products)[0]
+                                for at in range(0, len(asked), 1024)])
         out = []
         for query, mark, own, nodes in zip(q["vec_id"], pd.util.hash_array(np.array([a.tobytes() for a in asked], object)).view(np.int64), asked, found):
             nodes = nodes[nodes >= 0]
