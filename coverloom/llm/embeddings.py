@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coverloom.llm.common import group_bounds, in_cells, join_labels, whole_groups
+from coverloom.llm.common import group_bounds, join_labels, whole_groups
 from coverloom.llm.components import components
 from coverloom.session import materialise
 
@@ -66,49 +66,71 @@ def buckets(x: np.ndarray, tables: int, hashes: int, seed: int = 7) -> np.ndarra
     return out
 
 
-def _compare(least: float, block: int = 512):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in whole_groups(batches, _CELL, 5_000):
-            bounds, label, links = group_bounds(pdf, _CELL), np.arange(len(pdf)), np.zeros(len(pdf), np.int64)
-            for lo, hi in zip(bounds[:-1], bounds[1:]):
-                if hi - lo > 1:
-                    _group(pdf.iloc[lo:hi], lo, label, links, least, block)
-            some = links > 0
-            rep = pdf["rep"].to_numpy()
-            yield pd.DataFrame({"rep": rep[some], "links": links[some], "root": rep[label[some]]})
+def hash_count(rows: int, width: int, tables: int, most: int = 6) -> int:
+    """Hashes a table, so that ``rows`` vectors of one label and ``width`` seldom share a bucket by chance, however many they are.
 
-    return run
+    Two below 16 components: so few coordinates have too few rotations for tables of many hashes to differ.
+    """
+    sides, hashes = 2 << max(1, (width - 1).bit_length()), 2
+    while sides >= 32 and hashes < most and 8 * rows * (1 + hashes) ** 2 > sides**hashes and tables * sides ** (hashes + 1) < 2**62:
+        hashes += 1
+    return hashes
 
 
-def _group(g: pd.DataFrame, lo: int, label: np.ndarray, links: np.ndarray, least: float, block: int) -> None:
-    """Compare the rows of one cell; counts each pair in the first bucket where the two meet only."""
+def _links(g: pd.DataFrame, least: float, tables: int, hashes: int, block: int = 512, at_once: int = 1 << 20) -> pd.DataFrame:
+    """(rep, links, root) of the cells in ``g``, vectors of one length; counts each pair in the first bucket where the two meet only."""
     v = np.stack(g["vector"].to_numpy()).astype(np.float64)
-    norm, copies, own = np.sqrt((v * v).sum(axis=1)), g["copies"].to_numpy(), g["_own"].to_numpy()
-    sig = np.stack(g["signature"].to_numpy()).reshape(len(g), -1, int(g["probes"].iloc[0]))
-    key, across = g["key"].iloc[0], g["_i"].iloc[0] != g["_j"].iloc[0]
-    for at in range(0, len(g), block):
-        cos = (v[at:at + block] @ v[at:].T) / norm[at:at + block, None] / norm[None, at:]
-        i, j = np.nonzero(cos >= least)
-        i, j = i + at, j + at
-        keep = (i < j) & ((own[i] != own[j]) if across else True)
-        i, j = i[keep], j[keep]
-        join_labels(label, lo + i, lo + j)
-        for part in range(0, len(i), 1 << 16):
-            a, b = i[part:part + (1 << 16)], j[part:part + (1 << 16)]
-            shared = (sig[a][:, :, :, None] == sig[b][:, :, None, :]).any(axis=3)  # of the buckets where the two meet, the smallest counts
-            meet = np.where(shared, sig[a], np.iinfo(np.int64).max)
-            first = meet.min(axis=(1, 2)) == key
-            np.add.at(links, lo + a[first], copies[b[first]])
-            np.add.at(links, lo + b[first], copies[a[first]])
+    norm, copies, own, key, rep = np.sqrt((v * v).sum(axis=1)), *(g[c].to_numpy() for c in ("copies", "_own", "key", "rep"))
+    across = (g["_i"] != g["_j"]).to_numpy()
+    label, links = np.arange(len(g)), np.zeros(len(g), np.int64)
+    signature, known = np.empty((len(g), tables, 1 + hashes), np.int64), np.zeros(len(g), bool)
+
+    def count(i: np.ndarray, j: np.ndarray) -> None:
+        join_labels(label, i, j)
+        new = np.unique(np.concatenate([i, j]))
+        new = new[~known[new]]
+        if len(new):
+            signature[new], known[new] = buckets(v[new], tables, hashes), True
+        for at in range(0, len(i), 1 << 16):
+            a, b = i[at:at + (1 << 16)], j[at:at + (1 << 16)]
+            shared = (signature[a][:, :, :, None] == signature[b][:, :, None, :]).any(axis=3)  # of the buckets where the two meet, the smallest counts
+            first = np.where(shared, signature[a], np.iinfo(np.int64).max).min(axis=(1, 2)) == key[a]
+            np.add.at(links, a[first], copies[b[first]])
+            np.add.at(links, b[first], copies[a[first]])
+
+    bounds = group_bounds(g, _CELL)
+    starts, sizes = bounds[:-1], np.diff(bounds)
+    i = starts[sizes == 2]  # by far the most cells, compared together
+    i = i[np.einsum("nd,nd->n", v[i], v[i + 1]) / norm[i] / norm[i + 1] >= least]
+    i = i[~across[i] | (own[i] != own[i + 1])]
+    held, size = [(i, i + 1)], len(i)
+    for lo, hi in zip(starts[sizes > 2], bounds[1:][sizes > 2]):
+        for at in range(lo, hi, block):
+            end = min(at + block, hi)
+            i, j = np.nonzero((v[at:end] @ v[at:hi].T) / norm[at:end, None] / norm[None, at:hi] >= least)
+            i, j = i + at, j + at
+            keep = (i < j) & (~across[lo] | (own[i] != own[j]))
+            held.append((i[keep], j[keep]))
+            size += int(keep.sum())
+            if size >= at_once:
+                count(*map(np.concatenate, zip(*held)))
+                held, size = [], 0
+    if size:
+        count(*map(np.concatenate, zip(*held)))
+    some = links > 0
+    return pd.DataFrame({"rep": rep[some], "links": links[some], "root": rep[label[some]]})
 
 
 def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", least: float = 0.98,
-                    tables: int = 6, hashes: int = 2, cell_rows: int = 2048) -> DataFrame:
+                    tables: int = 6, hashes: int | None = None, cell_rows: int = 2048) -> DataFrame:
     """(vec_id, n_links, component_id, kept): one row per input row.
 
     Linked are vectors of equal label (not null) and length with cosine >= ``least``. Equal vectors are one class before
     anything is compared; ``n_links`` counts rows. Unusable vectors (see ``usable``), rows without label and rows without id
     link with nothing: 0 links, their own component, kept (null and not kept without id). Other columns are ignored.
+
+    Hashes a table follow the largest label (``hash_count``) unless ``hashes`` is given. Bucket numbers travel first, with ids alone; vectors only
+    to buckets that hold several. A bucket of more than ``cell_rows`` is cut by a hash of the id into chunks, and any two chunks meet in a cell of their own.
     """
     rows = rows.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).cast("string").alias("label"),
                        F.col(vector_col).cast("array<double>").alias("vector"))
@@ -117,23 +139,32 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "
     live = rows.filter(F.col("vhash").isNotNull())
     classes = live.groupBy("label", "vhash", "vector").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
     classes = materialise(classes, "vector-classes")
-    kind = "label string, key long, rep long, copies long, vector array<double>, signature array<long>, probes int"
+    spread = classes.withColumn("label", F.concat_ws(":", F.size("vector"), "label"))  # vectors of one length only meet
+    largest = spread.groupBy("label").count().agg(F.max("count")).first()[0] or 0
+    hashes_of = lambda width: hashes or hash_count(largest, width, tables)
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for width, g in pdf.groupby(pdf["vector"].map(len)):
-                sig = buckets(np.stack(g["vector"].to_numpy()), tables, hashes)
-                flat = sig.reshape(len(g), -1)
-                for k in range(flat.shape[1]):
-                    yield pd.DataFrame({"label": g["label"].to_numpy(), "key": flat[:, k], "rep": g["rep"].to_numpy(), "copies": g["copies"].to_numpy(),
-                                        "vector": g["vector"].to_numpy(), "signature": list(flat), "probes": 1 + hashes})
+                flat = buckets(np.stack(g["vector"].to_numpy()), tables, hashes_of(width)).reshape(len(g), -1)
+                each = flat.shape[1]
+                yield pd.DataFrame({"label": np.repeat(g["label"].to_numpy(), each), "key": flat.ravel(), "rep": np.repeat(g["rep"].to_numpy(), each)})
 
-    spread = classes.withColumn("label", F.concat_ws(":", F.size("vector"), "label"))  # vectors of one length only meet
-    sample = 8
-    sampled = spread.filter(F.pmod(F.xxhash64("rep"), F.lit(sample)) == 0).mapInPandas(place, kind)
-    placed = in_cells(spread.mapInPandas(place, kind), ["label", "key"], "rep", cell_rows, sampled, sample)
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in whole_groups(batches, _CELL, 5_000):
+            for width, g in pdf.groupby(pdf["vector"].map(len)):
+                yield _links(g.reset_index(drop=True), least, tables, hashes_of(width))
+
+    keys = materialise(spread.select("label", "rep", "vector").mapInPandas(place, "label string, key long, rep long"), "vector-buckets")
+    shared = keys.groupBy("label", "key").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > 1)
+    crowded = materialise(keys.join(shared, ["label", "key"]), "crowded-buckets")
+    chunks = F.ceil(F.col("size") / cell_rows).cast("int")
+    placed = crowded.join(classes.select("rep", "copies", "vector"), "rep")
+    placed = placed.withColumn("_own", F.pmod(F.xxhash64(F.lit("chunk"), "rep"), chunks).cast("int"))
+    placed = placed.withColumn("_other", F.explode(F.sequence(F.lit(0), chunks - 1)))
+    placed = placed.select("label", "key", F.least("_own", "_other").alias("_i"), F.greatest("_own", "_other").alias("_j"), "_own", "rep", "copies", "vector")
     cells = placed.repartition(*_CELL).sortWithinPartitions(*_CELL)
-    met = materialise(cells.mapInPandas(_compare(least), "rep long, links long, root long"), "vector-links")
+    met = materialise(cells.mapInPandas(compare, "rep long, links long, root long"), "vector-links")
     found = components(met.select(F.col("rep").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "rep")
     counted = met.groupBy("rep").agg(F.sum("links").alias("links"))
     named = classes.join(counted, "rep", "left").join(found, "rep", "left").select(

@@ -179,6 +179,12 @@ def test_one_long_vector_hides_no_neighbours(spark, factor):
     assert found >= 0.95 * 10 * 30
 
 
+def test_shards_do_not_grow_in_number_before_they_are_full(spark):
+    vectors = spark.range(3000).selectExpr("transform(sequence(1, 32), i -> cast(id + i AS double)) AS vector")
+    assert ann._parts(vectors, None, 1 << 23, 8) == ann._parts(vectors.limit(10), None, 1 << 23, 8) == 8
+    assert ann._parts(vectors, None, 1000, 8) == 96 and ann._parts(vectors, 200, 1 << 23, 8) == 15 and ann._parts(vectors.limit(0), None, 1000, 1) == 1
+
+
 def test_neighbours_of_few_rows(spark):
     few = vectors(spark, [(0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, [0.5, 0.5]), (3, [1.0, 2.0, 3.0])])
     got = [(x.query_id, x["rank"], x.vec_id) for x in ann.search(few, few.filter("vec_id = 0")).orderBy("rank").collect()]
@@ -423,6 +429,38 @@ def test_buckets_catch_pairs_at_the_threshold():
     assert (a[:700, :, :, None] == b[700:1400, :, None, :]).any(axis=(1, 2, 3)).mean() < 0.05
 
 
+@pytest.mark.parametrize("width, rows", [(2, 10**9), (8, 10**9), (16, 10**9), (64, 10**4), (64, 10**8), (768, 10**8)])
+def test_buckets_catch_pairs_with_more_hashes(width, rows):
+    r = np.random.default_rng(2)
+    v, u = (x / np.linalg.norm(x, axis=1)[:, None] for x in r.normal(size=(2, 400, width)))
+    u -= (u * v).sum(axis=1)[:, None] * v
+    u = 0.98 * v + np.sqrt(1 - 0.98**2) * u / np.linalg.norm(u, axis=1)[:, None]
+    a, b = (embeddings.buckets(x, 6, embeddings.hash_count(rows, width, 6)) for x in (v, u))
+    assert (a[:, :, :, None] == b[:, :, None, :]).any(axis=(1, 2, 3)).mean() >= 0.98
+
+
+def test_hashes_follow_the_rows():
+    counts = [embeddings.hash_count(n, 64, 6) for n in (0, 100, 10_000, 1_000_000, 100_000_000)]
+    assert counts == [2, 2, 3, 4, 5]
+    for n, k in zip((10_000, 1_000_000, 100_000_000), counts[2:]):
+        assert 6 * (1 + k) ** 2 * n / 128**k < 1  # others met by chance, in all buckets of a vector
+    assert 6 * 2048 ** embeddings.hash_count(10**15, 1024, 6) < 2**63
+
+
+@pytest.mark.parametrize("hashes", [2, 4])
+def test_links_count_once_however_many_buckets_two_share(spark, hashes):
+    r = np.random.default_rng(5)
+    base = r.normal(size=(30, 32))
+    v = np.concatenate([base[:1] + r.normal(scale=0.001, size=(90, 32)), base, base + r.normal(scale=0.001, size=(30, 32))])
+    frame = spark.createDataFrame([(i, x.tolist(), 1) for i, x in enumerate(v)], "vec_id long, embedding array<double>, label int")
+    unit = v / np.linalg.norm(v, axis=1)[:, None]
+    want = ((unit @ unit.T) >= 0.98).sum(axis=1) - 1
+    for cell_rows in (8, 2048):
+        got = {g.vec_id: g for g in embeddings.near_duplicates(frame, hashes=hashes, cell_rows=cell_rows).collect()}
+        assert [got[i].n_links for i in range(len(v))] == want.tolist()
+        assert {got[i].component_id for i in [*range(91), 120]} == {0} and all(got[121 + i].component_id == 91 + i for i in range(29))
+
+
 # --- op9 -----------------------------------------------------------------------------------------------------------------
 
 def test_perspectives(spark):
