@@ -77,20 +77,16 @@ def hash_count(rows: int, width: int, tables: int, most: int = 6) -> int:
     return hashes
 
 
-def _links(g: pd.DataFrame, least: float, tables: int, hashes: int, block: int = 512, at_once: int = 1 << 20) -> pd.DataFrame:
+def _links(g: pd.DataFrame, least: float, tables: int, block: int = 512, at_once: int = 1 << 20) -> pd.DataFrame:
     """(rep, links, root) of the cells in ``g``, vectors of one length; counts each pair in the first bucket where the two meet only."""
     v = np.stack(g["vector"].to_numpy()).astype(np.float64)
     norm, copies, own, key, rep = np.sqrt((v * v).sum(axis=1)), *(g[c].to_numpy() for c in ("copies", "_own", "key", "rep"))
     across = (g["_i"] != g["_j"]).to_numpy()
     label, links = np.arange(len(g)), np.zeros(len(g), np.int64)
-    signature, known = np.empty((len(g), tables, 1 + hashes), np.int64), np.zeros(len(g), bool)
+    signature = np.stack(g["signature"].to_numpy()).reshape(len(g), tables, -1)
 
     def count(i: np.ndarray, j: np.ndarray) -> None:
         join_labels(label, i, j)
-        new = np.unique(np.concatenate([i, j]))
-        new = new[~known[new]]
-        if len(new):
-            signature[new], known[new] = buckets(v[new], tables, hashes), True
         for at in range(0, len(i), 1 << 16):
             a, b = i[at:at + (1 << 16)], j[at:at + (1 << 16)]
             shared = (signature[a][:, :, :, None] == signature[b][:, :, None, :]).any(axis=3)  # of the buckets where the two meet, the smallest counts
@@ -147,22 +143,22 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "
         for pdf in batches:
             for width, g in pdf.groupby(pdf["vector"].map(len)):
                 flat = buckets(np.stack(g["vector"].to_numpy()), tables, hashes_of(width)).reshape(len(g), -1)
-                each = flat.shape[1]
-                yield pd.DataFrame({"label": np.repeat(g["label"].to_numpy(), each), "key": flat.ravel(), "rep": np.repeat(g["rep"].to_numpy(), each)})
+                yield pd.DataFrame({"label": g["label"].to_numpy(), "rep": g["rep"].to_numpy(), "signature": list(flat)})
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in whole_groups(batches, _CELL, 5_000):
-            for width, g in pdf.groupby(pdf["vector"].map(len)):
-                yield _links(g.reset_index(drop=True), least, tables, hashes_of(width))
+            for _, g in pdf.groupby(pdf["vector"].map(len)):
+                yield _links(g.reset_index(drop=True), least, tables)
 
-    keys = materialise(spread.select("label", "rep", "vector").mapInPandas(place, "label string, key long, rep long"), "vector-buckets")
+    signed = materialise(spread.select("label", "rep", "vector").mapInPandas(place, "label string, rep long, signature array<long>"), "vector-buckets")
+    keys = signed.select("label", F.explode("signature").alias("key"), "rep")
     shared = keys.groupBy("label", "key").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > 1)
     crowded = materialise(keys.join(shared, ["label", "key"]), "crowded-buckets")
     chunks = F.ceil(F.col("size") / cell_rows).cast("int")
-    placed = crowded.join(classes.select("rep", "copies", "vector"), "rep")
+    placed = crowded.join(classes.select("rep", "copies", "vector"), "rep").join(signed.select("rep", "signature"), "rep")
     placed = placed.withColumn("_own", F.pmod(F.xxhash64(F.lit("chunk"), "rep"), chunks).cast("int"))
     placed = placed.withColumn("_other", F.explode(F.sequence(F.lit(0), chunks - 1)))
-    placed = placed.select("label", "key", F.least("_own", "_other").alias("_i"), F.greatest("_own", "_other").alias("_j"), "_own", "rep", "copies", "vector")
+    placed = placed.select("label", "key", F.least("_own", "_other").alias("_i"), F.greatest("_own", "_other").alias("_j"), "_own", "rep", "copies", "vector", "signature")
     cells = placed.repartition(*_CELL).sortWithinPartitions(*_CELL)
     met = materialise(cells.mapInPandas(compare, "rep long, links long, root long"), "vector-links")
     found = components(met.select(F.col("rep").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "rep")
