@@ -79,3 +79,42 @@ def test_lookup_spread_equals_left_join(skewed, spark, hot_rows):
     plain = few.join(skewed.withColumnRenamed("v", "S_v"), "k", "left")
     assert difference(spread.select("k", "t", "S_v"), plain.select("k", "t", "S_v")).count() == 0
     assert spread.count() == 202
+
+
+def test_per_group_equals_the_plain_lookup_and_moves_narrow_rows_only(spark):
+    from coverloom.session import clustered
+
+    dim = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 9)], "code string, v int")
+    add = lambda df: J.lookup(df, dim, ["code"], ["code"], {"v": "v"})
+    for ids in (("x", "x", "y", "z"), ("x", None, None, "z")):
+        df = spark.createDataFrame(list(zip(ids, ("a", "b", None, "c"), range(4), strict=True)), "id string, code string, wide int")
+        stored, files = clustered(df, "wide-rows", "id")
+        for source in (stored, files):
+            got = J.per_group(source, source, "id", ["code"], add)
+            assert sorted(map(str, got.select("id", "code", "wide", "v").collect())) == sorted(map(str, add(df).select("id", "code", "wide", "v").collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(100).selectExpr("cast(id % 20 as string) id", "'a' code", "cast(id as int) wide")
+        stored, _ = clustered(df, "wide-rows", "id")
+        plan = J.per_group(stored, stored, "id", ["code"], add)._jdf.queryExecution().executedPlan().toString()
+        moved = [line for line in plan.split("\n") if "Exchange hashpartitioning" in line]
+        assert moved and all("wide#" not in line for line in moved)
+        assert "hashpartitioning(id" not in "".join(moved)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_shuffle_partitions_follow_the_input(spark, tmp_path):
+    from coverloom import session
+
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    try:
+        (tmp_path / "t").write_bytes(bytes(10))
+        session.size_shuffles(spark, str(tmp_path / "t"), str(tmp_path / "none"))
+        assert session.shuffle_partitions(spark) == 4
+        with open(tmp_path / "t", "wb") as f:
+            f.truncate(20 * session.INPUT_BYTES)
+        session.size_shuffles(spark, str(tmp_path / "t"))
+        assert session.shuffle_partitions(spark) == 20
+    finally:
+        spark.conf.unset(name)
