@@ -217,3 +217,26 @@ def test_removed_rows_are_the_rest(star):
     kept, removed = scd2.pk_dedup(table), scd2.pk_removed(table)
     audit = scd2.dedup_audit(kept, removed).first()
     assert audit["rows"] == kept.count() and audit["rows"] + audit["removed"] == table.count() and audit["removed"] >= audit["removed_without_coverage"] > 0
+
+
+def test_a_step_stores_its_rows_once(star, tmp_path, monkeypatch):
+    path, names = str(tmp_path / "exposures"), []
+    monkeypatch.setattr(scd2, "materialise", lambda df, name: names.append(name) or materialise(df, name))
+    scd2.create(XQ._order_table(star, False), path, "2026-06-01 00:00:00")
+    assert names == []
+    scd2.step(path, XQ._order_table(star, True), RUN_TS)
+    assert names == ["stepped", "top"]
+
+
+def test_loaded_images_leave_only_the_tables_that_are_read(star):
+    from pathlib import Path
+
+    from coverloom.session import scratch_dir
+
+    stages = Path(scratch_dir(star.spark).removeprefix("file:")) / "coverloom-stages"
+    there = lambda: {p.name for p in stages.iterdir()} if stages.exists() else set()
+    before = there()
+    rows_ = XQ.loaded(star, dedup=True)
+    kinds = {n.replace("_", "-").rsplit("-", 1)[0] for n in there() - before}
+    assert "resolved-images" in kinds and not kinds & {"apol00", "acta00", "apol03", "acta03", "coverages", "changed", "appended", "filled-images"}
+    assert rows_.count() > 0
