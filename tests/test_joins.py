@@ -145,3 +145,18 @@ def test_stored_rows_leave_no_shuffles_and_open_files_are_no_limit(spark):
     for rows in (stored, table, plain):
         assert difference(rows, df).count() == 0
     assert table.groupBy("id").count().filter("count <> 5").count() == 0
+
+
+def test_buckets_are_written_without_a_sort_by_their_key(spark):
+    """Spark uses no order within a bucket of several files, and sorting by a text key took more time than the rest of the write."""
+    from coverloom.session import clustered
+
+    df = spark.range(500).select((F.col("id") % 50).cast("string").alias("k"), F.col("id").alias("n"))
+    for lying in (False, True):
+        table, files = clustered(df.repartition(2, "k"), "unsorted-rows", "k", lying=lying)
+        name = next(t.name for t in spark.catalog.listTables() if t.name.startswith("unsorted_rows"))
+        said = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
+        assert said["Bucket Columns"] == "[`k`]" and said.get("Sort Columns", "[]") == "[]"
+        assert sorted(map(tuple, table.collect())) == sorted(map(tuple, files.collect())) == sorted(map(tuple, df.collect()))
+        assert "Exchange" not in table.groupBy("k").count()._jdf.queryExecution().executedPlan().toString()
+        spark.sql(f"DROP TABLE {name}")
