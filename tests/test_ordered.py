@@ -101,3 +101,18 @@ def test_profile_and_share(spark):
     assert sorted(r["PCT"] for r in shares.collect()) == [33.3, 66.7]
     zero = share_of_total(spark.createDataFrame([("x", 0.0)], "k string, v double"), "v")
     assert zero.first()["PCT"] is None
+
+
+def test_dense_rank_compares_no_key_with_cut_points(spark, monkeypatch):
+    """The distinct keys are sorted in ranges; cutting them into slices compared each with up to 128 points, in interpreted code."""
+    from coverloom.operators import ordered
+
+    def never(*_):
+        raise AssertionError("keys are compared with cut points")
+
+    monkeypatch.setattr(ordered, "_with_slices", never)
+    df = spark.range(40_000).select((F.col("id") % 997).alias("a"), F.when(F.col("id") % 5 > 0, F.col("id") % 83).alias("b"))
+    ours = global_dense_rank(df, ["a", "b"], "rk", hot_rows=1000)
+    w = Window.orderBy(F.col("a").asc_nulls_last(), F.col("b").asc_nulls_last())
+    assert difference(ours, df.withColumn("rk", F.dense_rank().over(w).cast("long"))).count() == 0
+    assert global_dense_rank(df.limit(0), ["a", "b"], "rk").count() == 0
